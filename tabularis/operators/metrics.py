@@ -222,7 +222,8 @@ def _rates(c: DataFrame, g: list[str]) -> DataFrame:
     prec = F.when(F.col("alerts") > 0, F.col("tp") / F.col("alerts")).otherwise(F.lit(0.0))
     rec = F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(0.0))
     c = c.withColumn("precision", prec).withColumn("recall", rec)
-    c = c.withColumn("fdr", F.when(F.col("alerts") > 0, F.col("fp") / F.col("alerts")).otherwise(F.lit(0.0)))
+    # FDR = 1 - precision (precision is 0 without alerts, as in the reference's zero_division=0)
+    c = c.withColumn("fdr", F.lit(1.0) - F.col("precision"))
     return c.withColumn(
         "f1",
         F.when(F.col("precision") + F.col("recall") > 0,
