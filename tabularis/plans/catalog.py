@@ -6,7 +6,7 @@ import importlib
 
 from tabularis.plans.common import QueryFn
 
-PLAN_MODULES = ("sales", "quality", "metrics")
+PLAN_MODULES = ("sales", "quality", "metrics", "profile")
 
 
 def _modules():
