@@ -40,7 +40,7 @@ def global_stats(df: DataFrame, c: str) -> DataFrame:
 
 # A4 / E1 / Q20 / A5 -----------------------------------------------------------------------
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None, buckets: int = 1024
+    df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None, buckets: int = 256
 ) -> DataFrame:
     """Linear-interpolation quantiles (pandas/numpy default), exact, per group.
 
