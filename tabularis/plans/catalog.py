@@ -6,7 +6,7 @@ import importlib
 
 from tabularis.plans.common import QueryFn
 
-PLAN_MODULES = ("sales", "quality", "metrics", "profile", "prep", "recsys", "annotations", "cluster", "learners")
+PLAN_MODULES = ("sales", "quality", "metrics", "profile", "prep", "recsys", "annotations", "cluster", "learners", "scoring")
 
 
 def _modules():
