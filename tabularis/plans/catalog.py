@@ -20,8 +20,24 @@ def queries() -> dict[str, QueryFn]:
     return out
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's ``count_if`` is BIGINT. Wrap every call."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for mod in _modules():
-        out.update(getattr(mod, "ORACLE", {}))
+        out.update({k: _bigint_counts(v) for k, v in getattr(mod, "ORACLE", {}).items()})
     return out

@@ -100,8 +100,8 @@ _DIRTY_NOINF = """d AS (SELECT loan_id,
 
 ORACLE = {
     "clean_summary": with_views(
-        f"""SELECT sum(n) AS original_rows, sum(n - 1) AS duplicate_rows, count(*) AS deduplicated_rows,
-       sum(inf_n) AS infinite_values,
+        f"""SELECT CAST(sum(n) AS BIGINT) AS original_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) AS deduplicated_rows,
+       CAST(sum(inf_n) AS BIGINT) AS infinite_values,
        count_if(loan_id IS NULL) + count_if(amount IS NULL) + count_if(balance IS NULL) + count_if(priority IS NULL)
          + count_if(segment IS NULL) + count_if(label IS NULL) AS missing_values,
        count_if(reason IS NOT NULL) AS invalid_rows, count_if(reason IS NULL) AS clean_rows,
