@@ -46,3 +46,12 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     diff = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert diff is None, diff
+
+
+def test_stream_scoring_equals_batch(spark):
+    """V5: the Structured Streaming path scores exactly what the batch path scores."""
+    qs = E.queries()
+    cols = ["request_id", "failure_probability", "machine_failure_alarm", "decision"]
+    batch = {tuple(r) for r in qs["score_batch"](spark, SF).select(*cols).collect()}
+    stream = {tuple(r) for r in qs["score_stream"](spark, SF).select(*cols).collect()}
+    assert batch and batch == stream
