@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 
 from tabularis.plans.common import QueryFn
+from tabularis.session import ship
 
 PLAN_MODULES = ("sales", "quality", "metrics", "profile", "prep", "recsys", "annotations", "cluster", "learners", "scoring")
 
@@ -13,10 +15,21 @@ def _modules():
     return [importlib.import_module(f"tabularis.plans.{m}") for m in PLAN_MODULES]
 
 
+def shipped(fn: QueryFn) -> QueryFn:
+    """The query with the package sent to the workers first."""
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for mod in _modules():
-        out.update(mod.QUERIES)
+        out.update({name: shipped(fn) for name, fn in mod.QUERIES.items()})
     return out
 
 

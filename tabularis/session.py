@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,28 +26,51 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("TABULARIS_DRIVER_MEMORY", "16g"))
+    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tabularis-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application.
+
+    Workers then import the UDF modules wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tabularis_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tabularis-code-"), "tabularis.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._tabularis_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; create a scratch one only when none is configured.
+    """Return the shared folder named by ``spark.checkpoint.dir`` and make it the checkpoint dir.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only unset sessions (tests, local runs) get a fresh local scratch folder.
+    A local master without the setting (tests, the driver's smoke check) gets a scratch folder;
+    a cluster without it raises, because a machine-local folder would not reach the executors.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabularis-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
