@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, line_dedup
+from tabularis.llm import bpe, line_dedup, pii, quality
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,9 +22,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(read_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op6_pii": op6_pii,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}
