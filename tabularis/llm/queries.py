@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, line_dedup, pii, quality
+from tabularis.llm import bpe, decontam, line_dedup, minhash, pii, quality
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.tokenize_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -24,19 +28,27 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(read_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
-    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    base = of(*pii.BASE_KINDS)
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("matches")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
     "op6_pii": op6_pii,
+    "op7_decontamination": op7_decontamination,
     "op10_quality": op10_quality,
 }
 

@@ -80,18 +80,26 @@ class Words:
         self.hash = span_hash(prefix_hash(data), self.starts, self.ends) if len(self.doc) else np.zeros(0, np.uint64)
         self.at = np.searchsorted(self.doc, np.arange(len(offs)))
 
-    def windows(self, size: int) -> np.ndarray:
-        """Hash of the ``size`` words from each word on (across texts too: callers cut by ``at``)."""
+    def _sums(self, size: int) -> np.ndarray:
         n = max(0, len(self.hash) - size + 1)
         out = np.zeros(n, np.uint64)
         for k in range(size):
             out += self.hash[k : k + n] * SHINGLE_CODE[k]
-        return mixed(out)
+        return out
+
+    def windows(self, size: int) -> np.ndarray:
+        """Hash of the ``size`` words from each word on (across texts too: callers cut by ``at``)."""
+        return mixed(self._sums(size))
+
+    def sequences(self, size: int) -> np.ndarray:
+        """As windows, for whole sequences that are shorter than a shingle."""
+        return mixed(self._sums(size) + np.array([size], np.uint64) * SHINGLE_CODE[-1:])
 
 
 def short_shingle(words: np.ndarray) -> np.ndarray:
     """The one shingle of a text with fewer words than a shingle: its whole sequence."""
-    return mixed(np.array([np.sum(words * SHINGLE_CODE[: len(words)], dtype=np.uint64) + np.uint64(len(words)) * SHINGLE_CODE[-1]]))
+    length = np.array([len(words)], np.uint64) * SHINGLE_CODE[-1:]
+    return mixed(np.sum(words * SHINGLE_CODE[: len(words)], dtype=np.uint64, keepdims=True) + length)
 
 
 def shingles(words: Words, windows: np.ndarray, i: int, size: int) -> np.ndarray:
