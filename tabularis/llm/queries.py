@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, decontam, line_dedup, minhash, pii, quality
+from tabularis.llm import bpe, decontam, fingerprint, licenses, line_dedup, minhash, pii, quality
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.edits(read_table(spark, sf_dir, "documents"))
+    own, edited = fingerprint.as_text(F.col("sketch")).alias("fingerprint"), fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint")
+    return found.select("doc_id", "n_chars", "edited_sha256", own, edited, "near_edited", "near_next")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(read_table(spark, sf_dir, "documents"))
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
@@ -47,6 +57,8 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op4_fingerprint": op4_fingerprint,
+    "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_decontamination": op7_decontamination,
     "op10_quality": op10_quality,
