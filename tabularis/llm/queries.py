@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, decontam, fingerprint, licenses, line_dedup, minhash, pii, quality
+from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, minhash, pii, quality
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("matches")
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extract": op8_html_extract,
     "op10_quality": op10_quality,
 }
 
