@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, minhash, pii, quality
+from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, minhash, pii, quality, suffix_dedup
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,11 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_decontamination": op7_decontamination,
     "op8_html_extract": op8_html_extract,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
 }
 
