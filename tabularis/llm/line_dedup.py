@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabularis.llm.common import doc_texts, public_id, shuffle_width, written
+from tabularis.llm.common import NULL_ID, doc_texts, pick, shuffle_width, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -132,7 +133,7 @@ def _kept_texts(min_chars: int):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, lines_before, long_left = [], [], []
-            for text, packed in zip(b.column("text").cast(pa.binary()), b.column("keep"), strict=True):
+            for text, packed in zip(b.column("text").cast(pa.binary()), b.column("_keep"), strict=True):
                 text, packed = text.as_py(), packed.as_py()
                 if packed is None:
                     lines_before.append(text.count(b"\n") + 1)
@@ -146,21 +147,28 @@ def _kept_texts(min_chars: int):
                 lines_before.append(len(lines))
                 long_left.append(any(_long_enough(line_key(line), min_chars) for line in left))
                 texts.append(b"\n".join(left))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines_before, pa.int64()), b.column("n_dropped"), pa.array(long_left)],
-                names=["id", "text", "n_lines", "n_dropped", "long_left"],
-            )
+            new = {"text": pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": pa.array(lines_before, pa.int64()), "long_left": pa.array(long_left)}
+            names = [n for n in b.schema.names if n != "_keep"] + ["n_lines", "long_left"]
+            yield pa.RecordBatch.from_arrays([new[n] if n in new else b.column(n) for n in names], names=names)
 
     return kept
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """Apply the bitmaps: (doc_id, text, n_lines, n_dropped, long_left) for each row of ``docs``.
+def dedup_rows(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+    """``docs`` with the remaining text, n_lines (before), n_dropped and long_left.
 
-    ``long_left`` is false where lines were dropped and no line of ``min_chars`` is left.
+    ``long_left`` is false where lines were dropped and no line of ``min_chars`` is left. Columns of ``docs`` with
+    these names give way.
     """
-    d = doc_texts(docs).withColumn("t", F.xxhash64("text"))
-    joined = d.join(keep_bitmaps(docs, min_chars), ["id", "t"], "left")
-    joined = joined.select("id", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep")
-    out = joined.mapInArrow(_kept_texts(min_chars), "id long, text string, n_lines long, n_dropped long, long_left boolean")
-    return out.select(public_id().alias("doc_id"), "text", "n_lines", "n_dropped", "long_left")
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped", "long_left")]
+    d = pick(docs, *others, "text").withColumn("text", F.coalesce("text", F.lit("")))
+    d = d.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_t", F.xxhash64("text"))
+    gone = keep_bitmaps(docs, min_chars).select(F.col("id").alias("_id"), F.col("t").alias("_t"), F.col("n_dropped").alias("_n"), F.col("keep").alias("_keep"))
+    joined = d.join(gone, ["_id", "_t"], "left").select(*others, "text", F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"), "_keep")
+    schema = T.StructType([*joined.schema.fields[:-1], T.StructField("n_lines", T.LongType()), T.StructField("long_left", T.BooleanType())])
+    return joined.mapInArrow(_kept_texts(min_chars), schema)
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+    """(doc_id, text, n_lines, n_dropped, long_left) for each row of ``docs``."""
+    return dedup_rows(pick(docs, "doc_id", "text"), min_chars).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "n_lines", "n_dropped", "long_left")

@@ -1,11 +1,12 @@
 """MinHash near-dedup with min-max hashing.
 
 Documents are sets of distinct five-word shingles (a text with fewer words: its whole sequence). Two
-documents are linked if 100 * |intersection| >= 85 * |union|; the classes are the connected components.
+documents are linked if 100 * |intersection| >= percent * |union|; the classes are the connected components.
 
 1. Signatures. Each of ``HASHES`` hash functions gives two signature values, the minimum and the
-   maximum over the set, so ``2 * HASHES`` values cost half the hash evaluations. ``BANDS`` bands of ``ROWS``
-   values: a pair at the threshold misses all bands with probability (1 - 0.85**6)**32 = 3e-7.
+   maximum over the set, so ``2 * HASHES`` values cost half the hash evaluations. In bands of six values
+   a pair at 85 per cent misses all bands with probability (1 - 0.85**6)**32 = 3e-7; for 80 per cent
+   take bands of five, (1 - 0.8**5)**38 = 3e-7.
 2. Equal sets (by a 128-bit digest) collapse to their smallest document before anything is compared, so
    exact copies cost one row each.
 3. Band keys held by two or more sets give star edges to the key's smallest set (never pairs within a
@@ -37,12 +38,12 @@ from tabularis.llm.components import components
 from tabularis.llm.words import Words, mixed, shingles
 
 SHINGLE = 5
-HASHES, ROWS, BANDS = 96, 6, 32  # 2 * HASHES = ROWS * BANDS
+HASHES = 96
 BLOCK = 1 << 20  # shingles
 _rng = np.random.default_rng(42)
 FLIP = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 FACTOR = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-BAND_CODE = _rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BAND_CODE = _rng.integers(1, 2**63, 2 * HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def signature(grams: np.ndarray) -> np.ndarray:
@@ -55,9 +56,11 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.stack([low, high], axis=1).ravel()
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    parts = sig.astype(np.uint64).reshape(BANDS, ROWS)
-    return mixed((parts * BAND_CODE).sum(axis=1, dtype=np.uint64) + BAND_CODE[:, 0]).view(np.int64)
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """A key for each band of ``rows`` signature values."""
+    n = len(sig) // rows * rows
+    code = BAND_CODE[:n].reshape(-1, rows)
+    return mixed((sig[:n].astype(np.uint64).reshape(-1, rows) * code).sum(axis=1, dtype=np.uint64) + code[:, 0]).view(np.int64)
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -70,19 +73,22 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield s[np.r_[True, s[1:] != s[:-1]]] if len(s) else s
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sizes, first, second, keys = [], [], [], []
-        for grams in _sets(b.column("text")):
-            sizes.append(len(grams))
-            a, c = np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), "<i8") if len(grams) else (None, None)
-            first.append(a)
-            second.append(c)
-            keys.append(band_keys(signature(grams)) if len(grams) else None)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["id", "n", "d1", "d2", "keys"],
-        )
+def _signature_rows(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, first, second, keys = [], [], [], []
+            for grams in _sets(b.column("text")):
+                sizes.append(len(grams))
+                a, c = np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), "<i8") if len(grams) else (None, None)
+                first.append(a)
+                second.append(c)
+                keys.append(band_keys(signature(grams), rows) if len(grams) else None)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "n", "d1", "d2", "keys"],
+            )
+
+    return run
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +100,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(sets, pa.binary())], names=[*keep, "grams"]).filter(same)
 
 
-def linked_forest(ids: np.ndarray, sets: list[np.ndarray], num: int = 85, den: int = 100) -> list[tuple[int, int]]:
+def linked_forest(ids: np.ndarray, sets: list[np.ndarray], num: int, den: int = 100) -> list[tuple[int, int]]:
     """Links (verified on the full sets) that connect whatever links of these sets connect."""
     m = len(ids)
     size = np.array([len(s) for s in sets])
@@ -136,20 +142,23 @@ def linked_forest(ids: np.ndarray, sets: list[np.ndarray], num: int = 85, den: i
     return out
 
 
-def _verify(rows: pa.Table) -> pa.Table:
-    nodes, at = np.unique(rows.column("node").to_numpy(), return_index=True)
-    grams = rows.column("grams").combine_chunks()
-    links = linked_forest(nodes, [np.frombuffer(grams[int(i)].as_buffer(), np.uint64) for i in at]) if len(nodes) > 1 else []
-    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+def _verify(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        nodes, at = np.unique(rows.column("node").to_numpy(), return_index=True)
+        grams = rows.column("grams").combine_chunks()
+        links = linked_forest(nodes, [np.frombuffer(grams[int(i)].as_buffer(), np.uint64) for i in at], percent) if len(nodes) > 1 else []
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row, whole texts.
 
-    A node of the link graph is a set, named by 64 bits of its digest.
+    ``rows`` signature values make a band, see above for what a percentage needs. A node of the link graph is a set, named by 64 bits of its digest.
     """
     texts = doc_texts(docs)
-    sig = written(texts.mapInArrow(_signature_rows, "id long, n long, d1 long, d2 long, keys array<long>"), "signatures")
+    sig = written(texts.mapInArrow(_signature_rows(rows), "id long, n long, d1 long, d2 long, keys array<long>"), "signatures")
     sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(F.min(F.struct("id", "n", "keys")).alias("s"))
     sets = written(sets.select("node", "s.*"), "sets")
     held = sets.select("node", F.explode("keys").alias("key"))
@@ -162,7 +171,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grams = texts.join(members, "id").mapInArrow(_set_rows, "node long, class long, blocks long, block long, grams binary")
     tasks = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.select("node", "grams", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    links = tasks.groupBy("class", "one", "two").applyInArrow(_verify, "a long, b long")
+    links = tasks.groupBy("class", "one", "two").applyInArrow(_verify(percent), "a long, b long")
     # different texts under one doc_id are one document: their sets are tied
     ids = sig.where("n > 0").groupBy("id").agg(F.min("d1").alias("b"), F.max("d1").alias("top")).where("b <> top")
     ties = sig.where("n > 0").join(ids, "id").where("d1 <> b").select(F.col("d1").alias("a"), "b")
