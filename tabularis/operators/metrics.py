@@ -240,6 +240,13 @@ def select_threshold(sweep: DataFrame, min_recall: float = 0.5, by=None) -> Data
     return ok.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
+def feasible(row) -> float:
+    """The threshold of a row of ``select_threshold``; an error if no threshold was feasible."""
+    if row is None:
+        raise ValueError("no threshold satisfies the recall requirement")
+    return float(row["threshold"])
+
+
 def operating_point(df: DataFrame, label: str, score: str, threshold: float | Column, by=None) -> DataFrame:
     """tn / fp / fn / tp, alerts, precision, recall, FDR, F1 and accuracy at one threshold."""
     g = _by(by)

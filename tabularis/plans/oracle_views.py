@@ -91,11 +91,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
               WHEN l_partkey % 103 = 0 THEN '1 0.5 0.5 0.1'
               WHEN l_partkey % 107 = 0 THEN '3 1.2 0.5 0.1 0.1'
               WHEN l_partkey % 109 = 0 THEN '3 0.2 0.5 0 0.1'
-              ELSE CAST(l_suppkey % 45 AS VARCHAR) || ' 0.5 0.25 0.1 0.2' END AS value,
+              WHEN l_partkey % 113 = 0 THEN good || chr(13)
+              WHEN l_partkey % 127 = 0 THEN chr(9) || good || ' ' || chr(9)
+              WHEN l_partkey % 131 = 0 THEN '3 0.5f 0.5 0.1 0.1'
+              WHEN l_partkey % 137 = 0 THEN '99999999999 0.5 0.5 0.1 0.1'
+              ELSE good END AS value,
          CASE WHEN substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 1) IN ('a','b','c') THEN 'val'
               WHEN substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 1) IN ('d','e','f') THEN 'test'
               ELSE 'train' END AS split
-  FROM lineitem)"""),
+  FROM (SELECT *, CAST(l_suppkey % 45 AS VARCHAR) || ' 0.5 0.25 0.' || lpad(CAST(5 + l_partkey % 40 AS VARCHAR), 2, '0')
+               || ' 0.' || lpad(CAST(7 + l_partkey % 53 AS VARCHAR), 2, '0') AS good FROM lineitem) li)"""),
     "v_images": ((), """v_images AS (
   SELECT o_orderkey AS image_id,
          CASE WHEN substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) IN ('a','b','c') THEN 'val'

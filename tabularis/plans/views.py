@@ -169,12 +169,18 @@ def v_annot(t: Tables) -> DataFrame:
     """One annotation text line per lineitem row: (image_id, line_no, file, value, split)."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     pk = F.col("l_partkey")
+    size = F.concat(F.lit(" 0.5 0.25 0."), F.lpad((5 + pk % 40).cast("string"), 2, "0"), F.lit(" 0."), F.lpad((7 + pk % 53).cast("string"), 2, "0"))
+    good = F.concat((F.col("l_suppkey") % 45).cast("string"), size)
     value = (
         F.when(pk % 101 == 0, F.concat(F.lit("abc "), F.col("l_linenumber").cast("string"), F.lit(" 0.5 0.1 0.1")))
         .when(pk % 103 == 0, F.lit("1 0.5 0.5 0.1"))
         .when(pk % 107 == 0, F.lit("3 1.2 0.5 0.1 0.1"))
         .when(pk % 109 == 0, F.lit("3 0.2 0.5 0 0.1"))
-        .otherwise(F.concat((F.col("l_suppkey") % 45).cast("string"), F.lit(" 0.5 0.25 0.1 0.2")))
+        .when(pk % 113 == 0, F.concat(good, F.lit("\r")))
+        .when(pk % 127 == 0, F.concat(F.lit("\t"), good, F.lit(" \t")))
+        .when(pk % 131 == 0, F.lit("3 0.5f 0.5 0.1 0.1"))
+        .when(pk % 137 == 0, F.lit("99999999999 0.5 0.5 0.1 0.1"))
+        .otherwise(good)
     )
     from pyspark.sql import Window
 
