@@ -2,8 +2,7 @@
 
 Fitted state is a small DataFrame (one row of statistics, or one row per category);
 ``transform`` applies it with column expressions or a join against that table, so the
-data itself never leaves the executors. Category lists that define output columns are
-read on the driver, guarded by a size limit.
+data itself never leaves the executors.
 """
 
 from __future__ import annotations
@@ -13,12 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.operators.profile import exact_quantiles
-
-MAX_CATEGORIES = 1000
+from tabularis.operators.profile import quantile_values
+from tabularis.operators.ranking import range_rank
 
 
 def safe_col_name(v) -> str:
@@ -30,7 +28,8 @@ def safe_col_name(v) -> str:
 # aggregate row per fit) and applied as literals, so no transform re-runs the fit.
 def fit_medians(train: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
     """Exact medians (linear interpolation) per column."""
-    return {c: F.lit(exact_quantiles(train, c, [0.5]).first()["q"]) for c in cols}
+    m = quantile_values(train, cols, [0.5])
+    return {c: F.lit(m.get((c, 0.5))) for c in cols}
 
 
 def fit_modes(train: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
@@ -75,11 +74,22 @@ def unstandardize(df: DataFrame, st: ScalerState, cols: Sequence[str], suffix: s
 
 # E5 / E6 / E7 / E8 ------------------------------------------------------------------------
 def fit_categories(train: DataFrame, c: str) -> list:
-    """Sorted distinct non-null categories (the vocabulary defines output columns)."""
-    vals = train.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).limit(MAX_CATEGORIES + 1).collect()
-    if len(vals) > MAX_CATEGORIES:
-        raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories; use an ordinal or hashed encoding")
-    return [r[0] for r in vals]
+    """Sorted distinct non-null categories. They become output columns, so their list is as long as
+    the result is wide; ``one_hot_vector`` keeps any number of categories in one sparse column."""
+    return [r[0] for r in train.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+
+
+def one_hot_vector(df: DataFrame, c: str, table: DataFrame, drop_first: bool = False, out: str | None = None) -> DataFrame:
+    """Exact indicators as one sparse column ``map<code, 1>`` for any number of categories.
+
+    ``table`` comes from ``fit_ordinal``; unknown and NULL (and the first category with
+    ``drop_first``) give the empty map, that is all zeros.
+    """
+    code = ordinal(df, c, table, out="_hot")
+    some = F.col("_hot") >= (1 if drop_first else 0)
+    at = F.col("_hot") - (1 if drop_first else 0)
+    hot = F.when(some, F.create_map(at, F.lit(1))).otherwise(F.create_map().cast("map<int,int>"))
+    return code.withColumn(out or f"{c}_hot", hot).drop("_hot", c)
 
 
 def one_hot(df: DataFrame, c: str, categories: Sequence, drop_first: bool = False) -> DataFrame:
@@ -90,15 +100,15 @@ def one_hot(df: DataFrame, c: str, categories: Sequence, drop_first: bool = Fals
 
 
 def fit_ordinal(train: DataFrame, c: str) -> DataFrame:
-    """Category table (value, code) with codes 0.. in sorted order (one row per category)."""
-    d = train.select(c).filter(F.col(c).isNotNull()).distinct()
-    return d.select(F.col(c).alias("_v"), (F.dense_rank().over(Window.orderBy(c)) - 1).alias("_code"))
+    """Category table (value, code) with codes 0.. in sorted order, any number of categories."""
+    d = train.select(F.col(c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+    return range_rank(d, "_v", "_code").select("_v", (F.col("_code") - 1).cast("int").alias("_code"))
 
 
 def ordinal(df: DataFrame, c: str, table: DataFrame, unknown: int = -1, out: str | None = None) -> DataFrame:
-    """Code lookup by broadcast join against the category table; unknown/NULL -> ``unknown``."""
+    """Code lookup by a join against the category table; unknown/NULL -> ``unknown``."""
     out = out or f"{c}_code"
-    j = df.join(F.broadcast(table), df[c] == table["_v"], "left")
+    j = df.join(table, df[c] == table["_v"], "left")
     return j.withColumn(out, F.coalesce(F.col("_code"), F.lit(unknown)).cast("int")).drop("_v", "_code")
 
 

@@ -6,10 +6,13 @@ models in one pass. Curves reduce to one row per distinct score before any order
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularis.operators.ranking import prefix_sums
+from tabularis.session import cut_lineage
 
 
 def _by(by) -> list[str]:
@@ -117,21 +120,26 @@ def confusion(df: DataFrame, label: str, pred: str, by=None) -> DataFrame:
 
 # M9 / M10 / M11 / W10 ---------------------------------------------------------------------
 def score_histogram(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
-    """One row per distinct score: positives and negatives at that score."""
-    return df.groupBy(*_by(by), F.col(score).alias("score")).agg(
+    """One row per distinct score: positives and negatives at that score.
+
+    Written once: the curves read it for totals, bucket offsets and rows.
+    """
+    hist = df.groupBy(*_by(by), F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
+    return cut_lineage(hist)
 
 
-def _score_bucket(nbuckets: int = 4096) -> Column:
-    return F.floor(F.col("score") * nbuckets)
+def _score_bucket(hist: DataFrame, bucket_rows: int = 100_000) -> Column:
+    """Equal-width score buckets, as many as the distinct scores ask for."""
+    return F.floor(F.col("score") * max(16, math.ceil(hist.count() / bucket_rows)))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     """Mann-Whitney AUC with ties counted half: Σ pos·(neg below + neg tied/2) / (P·N)."""
     g = _by(by)
     h = score_histogram(df, label, score, by)
-    h = prefix_sums(h, [F.col("score")], _score_bucket(), ["neg"], inclusive=False, partition_cols=g)
+    h = prefix_sums(h, [F.col("score")], _score_bucket(h), ["neg"], inclusive=False, partition_cols=g)
     return h.groupBy(*g).agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc")
     )
@@ -140,8 +148,8 @@ def roc_auc(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
 def _desc_cumulative(df: DataFrame, label: str, score: str, by=None) -> DataFrame:
     g = _by(by)
     h = score_histogram(df, label, score, by)
-    h = prefix_sums(h, [F.col("score").desc()], -_score_bucket(), ["pos", "neg"], inclusive=True, partition_cols=g)
     tot = h.groupBy(*g).agg(F.sum("pos").alias("P"))
+    h = prefix_sums(h, [F.col("score").desc()], -_score_bucket(h), ["pos", "neg"], inclusive=True, partition_cols=g)
     return h.join(tot, g) if g else h.withColumn("P", tot.select("P").scalar())
 
 

@@ -1,18 +1,22 @@
 """Profiles, correlations, histograms and exact quantiles.
 
-Exact quantiles are computed without gathering a group's values in one task: values are
-cut into range buckets (edges from a bounded sketch), bucket counts give each bucket's
-rank offset, and only the buckets that contain a wanted rank are sorted.
+Exact quantiles start from the count of every distinct value (combined map-side, so a value that
+fills the table is one row), cut the distinct values into range buckets whose number follows
+their count, and take the wanted ranks from running sums within buckets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularis.functions.columns import level_bucket
+from tabularis.session import cut_lineage
+
+BUCKET_ROWS = 1_000_000  # distinct values that one task sorts
 
 
 def _list(x) -> list[str]:
@@ -39,46 +43,50 @@ def global_stats(df: DataFrame, c: str) -> DataFrame:
 
 
 # A4 / E1 / Q20 / A5 -----------------------------------------------------------------------
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None, buckets: int = 256
+def exact_quantiles_of(
+    df: DataFrame, values: Sequence[str], probs: Sequence[float], by: str | Sequence[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """Linear-interpolation quantiles (pandas/numpy default), exact, per group.
+    """Linear-interpolation quantiles (pandas/numpy default), exact, of several columns per group.
 
-    Returns (by..., p, q). NULL values are ignored.
+    Returns (by..., name, p, q) for all columns and probabilities from one pass. NULL and NaN
+    values are ignored. ``buckets`` sets the number of ranges; by default one per BUCKET_ROWS.
     """
-    g = _list(by)
-    no_group = not g
-    if no_group:  # a constant key keeps every step an equi-join
-        df, g = df.withColumn("_g", F.lit(0)), ["_g"]
-    x = df.select(*g, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    edges = x.groupBy(*g).agg(
-        F.percentile_approx("_x", F.array(*[F.lit(f) for f in fracs]), 10 * buckets).alias("_edges"),
-        F.count("*").alias("_n"),
-    )
-    xb = x.join(edges, g)
-    xb = xb.withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col("_x"))))
-    counts = xb.groupBy(*g, "_b").agg(F.count("*").alias("_c"))
-    wb = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_off", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
-    # wanted 0-based ranks per group and prob
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    want = edges.select(*g, "_n", pr)
-    want = want.withColumn("_h", F.col("p") * (F.col("_n") - 1))
-    want = want.select(*g, "p", "_h", F.explode(F.array_distinct(F.array(F.floor("_h").cast("long"), F.ceil("_h").cast("long")))).alias("_r"))
-    # bucket of each wanted rank: offset <= r < offset + count
-    wb2 = want.join(counts, g).filter((F.col("_off") <= F.col("_r")) & (F.col("_r") < F.col("_off") + F.col("_c")))
-    needed = wb2.select(*g, "_b").distinct()
-    sel = xb.join(needed, [*g, "_b"], "left_semi").join(counts.select(*g, "_b", "_off"), [*g, "_b"])
-    w = Window.partitionBy(*g, "_b").orderBy("_x")
-    sel = sel.withColumn("_r", F.col("_off") + F.row_number().over(w) - 1)
-    vals = wb2.select(*g, "p", "_h", "_r").join(sel.select(*g, "_r", "_x"), [*g, "_r"])
-    agg = vals.groupBy(*g, "p", "_h").agg(
-        F.min_by("_x", "_r").alias("_lo"), F.max_by("_x", "_r").alias("_hi"), F.min("_r").alias("_rlo")
-    )
-    q = F.col("_lo") + (F.col("_h") - F.col("_rlo")) * (F.col("_hi") - F.col("_lo"))
-    out = agg.select(*g, "p", q.alias("q"))
-    return out.drop("_g") if no_group else out
+    g = [*_list(by), "name"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).cast("double").alias("_x")) for v in values]))
+    x = df.select(*_list(by), pairs.alias("_p")).select(*_list(by), "_p.name", "_p._x").filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    counts = cut_lineage(x.groupBy(*g, "_x").agg(F.count("*").alias("_n")))
+    buckets = buckets or max(1, math.ceil(counts.count() / BUCKET_ROWS))
+    if buckets > 1:  # one edge per bucket reaches the driver
+        edges = counts.agg(F.percentile_approx("_x", [i / buckets for i in range(1, buckets)], 100 * buckets)).first()[0]
+        edges = F.array(*[F.lit(float(e)) for e in sorted(set(edges))])
+        counts = counts.withColumn("_b", F.size(F.filter(edges, lambda e: e < F.col("_x"))))
+    else:
+        counts = counts.withColumn("_b", F.lit(0))
+    totals = counts.groupBy(*g, "_b").agg(F.sum("_n").alias("_t"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*g, "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"), F.sum("_t").over(Window.partitionBy(*g)).alias("_all"))
+    within = Window.partitionBy(*g, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.join(totals, [*g, "_b"]).withColumn("_lo", F.col("_off") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    # a row stands for the ranks _lo .. _lo + _n - 1; keep it for the probabilities that need one of them
+    holds = lambda r: (r >= F.col("_lo")) & (r < F.col("_lo") + F.col("_n"))
+    place = lambda p: p * (F.col("_all") - 1)
+    wanted = F.filter(F.array(*[F.lit(float(p)) for p in probs]), lambda p: holds(F.floor(place(p))) | holds(F.ceil(place(p))))
+    hit = ranked.select(*g, "_x", "_all", F.explode(wanted).alias("p"))
+    ends = hit.groupBy(*g, "p").agg(F.min("_x").alias("_a"), F.max("_x").alias("_z"), F.max("_all").alias("_all"))
+    part = place(F.col("p")) - F.floor(place(F.col("p")))
+    return ends.select(*g, "p", (F.col("_a") + part * (F.col("_z") - F.col("_a"))).alias("q"))
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None, buckets: int | None = None
+) -> DataFrame:
+    """As ``exact_quantiles_of`` for one column: (by..., p, q)."""
+    return exact_quantiles_of(df, [value], probs, by, buckets).drop("name")
+
+
+def quantile_values(df: DataFrame, values: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float]:
+    """Quantiles of whole columns as numbers, {(column, p): q}."""
+    return {(r["name"], r["p"]): r["q"] for r in exact_quantiles_of(df, values, probs).collect()}
 
 
 def median_of(df: DataFrame, value: str, by=None) -> DataFrame:
@@ -107,8 +115,8 @@ def strongest(corr: DataFrame, name_col: str = "col_a") -> DataFrame:
 # A11 --------------------------------------------------------------------------------------
 def equal_width_histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Every bin is reported."""
-    mn = df.select(F.min(c)).scalar()
-    mx = df.select(F.max(c)).scalar()
+    ends = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).first()
+    mn, mx = F.lit(ends["a"]), F.lit(ends["b"])
     width = (mx - mn) / bins
     b = F.least(F.lit(bins - 1), F.floor((F.col(c) - mn) / width).cast("int"))
     counts = df.filter(F.col(c).isNotNull()).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
@@ -125,12 +133,9 @@ def segment_profile(
     df: DataFrame, cluster: str, id_col: str, income: str, spending: str, extra_means: Sequence[str] = ()
 ) -> DataFrame:
     """Cluster profile with names from tercile cuts (0.33 / 0.67) of the data itself."""
-    ic = exact_quantiles(df, income, [0.33, 0.67])
-    sc = exact_quantiles(df, spending, [0.33, 0.67])
-    i_lo = ic.filter(F.col("p") == 0.33).select("q").scalar()
-    i_hi = ic.filter(F.col("p") == 0.67).select("q").scalar()
-    s_lo = sc.filter(F.col("p") == 0.33).select("q").scalar()
-    s_hi = sc.filter(F.col("p") == 0.67).select("q").scalar()
+    df = cut_lineage(df)
+    cuts = quantile_values(df, [income, spending], [0.33, 0.67])
+    i_lo, i_hi, s_lo, s_hi = (F.lit(cuts.get(k)) for k in ((income, 0.33), (income, 0.67), (spending, 0.33), (spending, 0.67)))
     prof = df.groupBy(cluster).agg(
         F.count(id_col).alias("customers"),
         *[F.avg(c).alias(f"avg_{c}") for c in extra_means],

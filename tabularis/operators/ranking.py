@@ -8,9 +8,34 @@ window partitioned by bucket. The result equals the plain global window.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabularis.session import cut_lineage
+
+BUCKET_ROWS = 1_000_000  # rows that one task sorts
+
+
+def hex_digits(rows: int) -> int:
+    """Leading hex digits of a hash that cut ``rows`` rows into buckets of BUCKET_ROWS (256 buckets at least)."""
+    return max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)) if rows > BUCKET_ROWS else 2)
+
+
+def range_rank(df: DataFrame, key: str, out: str = "rn") -> DataFrame:
+    """1-based rank of distinct keys in sorted order: ranges sorted apart, offsets by range counts.
+
+    The ranges are written once, so that their bounds are the same for the counts and the rows.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, key).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_range").orderBy(key)
+    return ranged.join(offsets, "_range").withColumn(out, F.col("_off") + F.row_number().over(within)).drop("_range", "_off")
+
 
 def prefix_sums(
     df: DataFrame,
@@ -45,14 +70,15 @@ def prefix_sums(
 
 
 def global_row_number(
-    df: DataFrame, order_hex: Column, partition_cols: list[str] | None = None, out: str = "rn", digits: int = 2
+    df: DataFrame, order_hex: Column, partition_cols: list[str] | None = None, out: str = "rn", rows: int | None = None
 ) -> DataFrame:
     """1-based row number in ``order_hex`` order (a hex string such as md5), optionally per group.
 
-    Buckets are the first ``digits`` hex characters (256 by default): a stratum holding a third
-    of all rows is still spread over 256 tasks.
+    Buckets are leading hex digits, as many as ``rows`` (counted if not given) asks for: a stratum
+    holding a third of all rows is spread like any other rows.
     """
     parts = list(partition_cols or [])
+    digits = hex_digits(df.count() if rows is None else rows)
     b = df.withColumn("_ord", order_hex).withColumn("_bucket", F.substring("_ord", 1, digits))
     counts = b.groupBy(*parts, "_bucket").agg(F.count("*").alias("_n"))
     wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

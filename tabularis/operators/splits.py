@@ -7,7 +7,6 @@ engines and partitionings. Row numbers come from the two-stage ranking in ``rank
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from fractions import Fraction
 
@@ -36,8 +35,9 @@ def _count(df: DataFrame) -> int:
 
 def random_split(df: DataFrame, key: str | Column, test_fraction: float = 0.2, seed: int = SEED, out: str = "split") -> DataFrame:
     """The first ceil(n·f) rows in md5 order are ``test``, the rest ``train``."""
-    n_test = ceil_fraction(_count(df), test_fraction)
-    ranked = global_row_number(df, seeded_md5(seed, _key(key)), out="_rn")
+    n = _count(df)
+    n_test = ceil_fraction(n, test_fraction)
+    ranked = global_row_number(df, seeded_md5(seed, _key(key)), out="_rn", rows=n)
     return ranked.withColumn(out, F.when(F.col("_rn") <= n_test, "test").otherwise("train")).drop("_rn")
 
 
@@ -53,8 +53,8 @@ def stratum_quotas(df: DataFrame, label: str, total: int | None = None, fraction
         total = ceil_fraction(n, fraction)
     if total <= 0 or total >= n:
         return dict(counts) if total >= n else {k: 0 for k in counts}
-    base = {k: math.floor(v * total / n) for k, v in counts.items()}
-    rem = {k: v * total / n - base[k] for k, v in counts.items()}
+    base = {k: v * total // n for k, v in counts.items()}
+    rem = {k: v * total % n for k, v in counts.items()}
     left = total - sum(base.values())
     for i, k in enumerate(sorted(counts, key=lambda k: (-rem[k], k))):
         if i < left:
@@ -131,7 +131,7 @@ def positive_weight(df: DataFrame, label: str) -> Column:
 
 def with_weight(df: DataFrame, label: str, weights: DataFrame, out: str = "weight") -> DataFrame:
     """Attach per-row class weights (weights table: one row per class)."""
-    return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), label, "left")
+    return df.join(weights.select(label, F.col("weight").alias(out)), label, "left")
 
 
 def fold_sizes(df: DataFrame, by: Sequence[str]) -> DataFrame:

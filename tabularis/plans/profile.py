@@ -53,10 +53,8 @@ def histogram_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quantile_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: exact tercile cuts (0.33 / 0.67, linear interpolation) of income and spending."""
     c = view(spark, sf_dir, "v_cust")
-    q = P.exact_quantiles(c, "income", [0.33, 0.67]).select(F.lit("income").alias("column_name"), "p", "q").unionByName(
-        P.exact_quantiles(c, "spending", [0.33, 0.67]).select(F.lit("spending").alias("column_name"), "p", "q")
-    )
-    return round_cols(q, 6)
+    q = P.exact_quantiles_of(c, ["income", "spending"], [0.33, 0.67])
+    return round_cols(q.withColumnRenamed("name", "column_name"), 6)
 
 
 def segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
