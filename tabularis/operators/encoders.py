@@ -11,7 +11,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,15 +113,9 @@ def ordinal(df: DataFrame, c: str, table: DataFrame, unknown: int = -1, out: str
 
 
 # E9 ---------------------------------------------------------------------------------------
-class ExpressionTransformer(Transformer):
-    """A pipeline stage made of fitted column expressions (imputation, scaling, indicators).
-
-    Lets the fitted encoders above sit in a ``pyspark.ml.Pipeline`` in front of an estimator.
-    """
-
-    def __init__(self, fn):
-        super().__init__()
-        self._fn = fn
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return self._fn(dataset)
+def scaling_stage(train: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLTransformer:
+    """Standard scaling (population std, a zero std scales by 1) as a pipeline stage that can be
+    saved: the fitted numbers stand in the stage's SQL. Adds ``prefix + column``."""
+    row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    scaled = [f"(CAST({c} AS DOUBLE) - ({row[f'm_{c}']!r}D)) / {row[f's_{c}'] or 1.0!r}D AS {prefix}{c}" for c in cols]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")

@@ -23,11 +23,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.functions.keys import seeded_md5
 from tabularis.operators import metrics as M
 
 MAX_DEPTH = 30
@@ -104,27 +103,38 @@ def grid_search(fit_eval, grid: Sequence[dict], parallel: int = 4) -> list[dict]
 
 
 # L15 --------------------------------------------------------------------------------------
-def permute_column(df: DataFrame, key: str, col: str, seed: int) -> DataFrame:
-    """Shuffle one column: row i takes the value of the row at the same rank in md5(seed) order.
+def permuted_frames(df: DataFrame, key: str, cols: Sequence[str], repeats: int, seed: int = 42) -> DataFrame:
+    """Long frame (feature, rep, rows of ``df`` with that feature shuffled) for all features and repeats.
 
-    Ranks come from two row numbers (by key and by md5); the join is on rank, an equi-join.
+    Row i takes the value of the row at the same rank in the repeat's md5 order: ranks by key and by
+    (repeat, md5), an equi-join on (rep, rank). One frame, so that one scoring pass serves them all.
     """
     from tabularis.operators.ranking import global_row_number
 
-    base = global_row_number(df, F.md5(F.col(key).cast("string")), out="_r1")
-    donor = global_row_number(df.select(key, col), seeded_md5(seed, F.col(key).cast("string")), out="_r1")
-    donor = donor.select("_r1", F.col(col).alias("_v"))
-    return base.join(donor, "_r1").withColumn(col, F.col("_v")).drop("_v", "_r1")
-
-
-def multiclass_learners() -> dict:
-    return {
-        "logistic": LogisticRegression(maxIter=200, regParam=0.0),
-        "forest": RandomForestClassifier(numTrees=100, maxDepth=10, seed=42),
-        "tree": DecisionTreeClassifier(maxDepth=8, seed=42),
-        "boosting": OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, seed=42)),
-        "svm": OneVsRest(classifier=LinearSVC(maxIter=100, regParam=0.01)),
-    }
+    n = df.count()
+    base = global_row_number(df, F.md5(F.col(key).cast("string")), out="_rank", rows=n)
+    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep")
+    donors = df.select(key, *cols, reps)
+    order = F.md5(F.concat_ws(":", (F.col("rep") * 1000 + seed).cast("string"), F.col(key).cast("string")))
+    donors = global_row_number(donors, order, partition_cols=["rep"], out="_rank", rows=n * repeats)
+    donors = donors.select("rep", "_rank", *[F.col(c).alias(f"_d_{c}") for c in cols])
+    long = base.join(donors, "_rank").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in cols])))
+    swapped = [F.when(F.col("feature") == c, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns]
+    return long.select("feature", "rep", *swapped)
+
+
+def multiclass_learners(rows: int, classes: int) -> dict:
+    """L4 / L6 / L7 for several classes: (name, estimator) grid; C maps to 1 / (C · rows)."""
+    out = {f"logistic_C{c}": LogisticRegression(maxIter=500, regParam=1.0 / (c * rows), family="multinomial", standardization=False) for c in (0.1, 1.0, 10.0)}
+    for leaf in (1, 2):
+        out[f"forest_l{leaf}"] = RandomForestClassifier(numTrees=400, maxDepth=15, minInstancesPerNode=leaf, seed=42)
+    out["tree_d8"] = DecisionTreeClassifier(maxDepth=8, seed=42)
+    return out
+
+
+def boosting_by_class(rounds: int = 20) -> OneVsRest:
+    """L7 multiclass: one boosted ensemble per class."""
+    return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=4, seed=42), parallelism=4)
 
 
 def binary_report(pred: DataFrame, label: str, score: Column, by: str = "model") -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import statistics
-
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,8 @@ from tabularis.operators import timeseries as ts
 from tabularis.plans.common import round_cols, view
 from tabularis.plans.oracle_views import with_views
 from tabularis.plans.prep import _fit_loans
-from tabularis.plans.sales import featured_sales
+from tabularis.plans.sales import _FEAT_CTE, featured_sales
+from tabularis.session import cut_lineage
 
 OPS_NUM = ["air_temperature_k", "process_temperature_k", "rotational_speed_rpm", "torque_nm", "tool_wear_min",
            "temperature_difference_k", "mechanical_power_w", "tool_stress", "torque_speed_ratio"]
@@ -38,7 +38,7 @@ def _spark(df: DataFrame) -> SparkSession:
 # ---------------------------------------------------------------- regression (T1) --------
 def _student_split(spark, sf_dir):
     st = view(spark, sf_dir, "v_student")
-    return X.random_split(st, "row_key", 0.2).persist()
+    return cut_lineage(X.random_split(st, "row_key", 0.2))
 
 
 def ols_simple(spark, sf_dir):
@@ -71,18 +71,37 @@ def ols_quadratic(spark, sf_dir):
 
 # ---------------------------------------------------------------- sales (T7) -------------
 def _sales_frames(spark, sf_dir):
-    f = ts.holdout_last_dates(featured_sales(spark, sf_dir), "week", 20).persist()
+    f = cut_lineage(ts.holdout_last_dates(featured_sales(spark, sf_dir), "week", 20))
     return f.filter(F.col("is_test") == 0), f.filter(F.col("is_test") == 1)
 
 
 def _ridge(train: DataFrame, alpha: float):
+    """One-hot store and scaled numbers, as the studied pipeline; the fitted pipeline can be saved."""
     st = train.agg(F.count("*").alias("n"), F.stddev_pop("weekly_sales").alias("s")).first()
     lr = LinearRegression(featuresCol="features", labelCol="weekly_sales", elasticNetParam=0.0, standardization=False,
                           regParam=L.ridge_reg_param(alpha, st["n"], st["s"]), solver="normal")
-    # standard scaling (population std) fitted inside the pipeline on the fold's train rows
-    scaler = E.fit_standard(train, SALES_FEATS)
-    scale = E.ExpressionTransformer(lambda df: E.standardize(df, scaler))
-    return Pipeline(stages=[scale, VectorAssembler(inputCols=SALES_FEATS, outputCol="features"), lr]).fit(train)
+    numeric = [c for c in SALES_FEATS if c != "store"]
+    stages = [E.scaling_stage(train, numeric), *L.features_pipeline([f"z_{c}" for c in numeric], ["store"]), lr]
+    return Pipeline(stages=stages).fit(train)
+
+
+def _tree_model(est):
+    """A tree ensemble on one-hot store and unscaled numbers."""
+    numeric = [c for c in SALES_FEATS if c != "store"]
+    return lambda train: Pipeline(stages=[*L.features_pipeline(numeric, ["store"]), est]).fit(train)
+
+
+def _sales_grid() -> dict:
+    """Every parameter setting of the sales task, name -> fit(train)."""
+    out = {f"ridge_a{a:g}": lambda train, a=a: _ridge(train, a) for a in (1.0, 10.0, 100.0)}
+    for depth in (12, L.MAX_DEPTH):
+        out[f"forest_d{depth}"] = _tree_model(RandomForestRegressor(labelCol="weekly_sales", numTrees=120, maxDepth=depth, minInstancesPerNode=2, seed=42))
+    out["boosting"] = _tree_model(GBTRegressor(labelCol="weekly_sales", maxIter=150, maxDepth=4, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42))
+    return out
+
+
+def _floored(df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0)))
 
 
 def ridge(spark, sf_dir):
@@ -90,48 +109,80 @@ def ridge(spark, sf_dir):
     train, test = _sales_frames(spark, sf_dir)
     out = None
     for alpha in (1.0, 10.0, 100.0):
-        p = _ridge(train, alpha).transform(test).withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0)))
-        m = M.regression_metrics(p, "weekly_sales", "prediction").select(F.lit(alpha).alias("alpha"), "*")
+        m = M.regression_metrics(_floored(_ridge(train, alpha).transform(test)), "weekly_sales", "prediction").select(F.lit(alpha).alias("alpha"), "*")
         out = m if out is None else out.unionByName(m)
     return round_cols(out, 6)
 
 
-def grid_cv_timeseries(spark, sf_dir):
-    """L13 + W8: ridge α grid over 3 expanding date folds; mean/std test RMSE, mean train RMSE, rank."""
-    train, _ = _sales_frames(spark, sf_dir)
-    folds = ts.expanding_date_folds(train.drop("is_test"), "week", 3).persist()
-    rows = []
-    for alpha in (1.0, 10.0, 100.0):
-        test_rmse, train_rmse = [], []
-        for k in range(3):
-            tr = folds.filter((F.col("fold") == k) & (F.col("role") == "train")).drop("fold", "role")
-            va = folds.filter((F.col("fold") == k) & (F.col("role") == "validate")).drop("fold", "role")
-            model = _ridge(tr, alpha)
-            test_rmse.append(M.regression_metrics(model.transform(va), "weekly_sales", "prediction").first()["rmse"])
-            train_rmse.append(M.regression_metrics(model.transform(tr), "weekly_sales", "prediction").first()["rmse"])
-        rows.append((alpha, statistics.fmean(test_rmse), statistics.pstdev(test_rmse), statistics.fmean(train_rmse)))
-    df = spark.createDataFrame(rows, "alpha double, mean_test_rmse double, std_test_rmse double, mean_train_rmse double")
+def sales_models(spark, sf_dir):
+    """Ridge, forest and boosting settings on the training weeks, scored on the last 20 weeks."""
+    train, test = _sales_frames(spark, sf_dir)
+    scored = None
+    for name, fit in _sales_grid().items():
+        p = _floored(fit(train).transform(test)).select(F.lit(name).alias("model"), "weekly_sales", "prediction")
+        scored = p if scored is None else scored.unionByName(p)
+    return round_cols(M.regression_metrics(scored, "weekly_sales", "prediction", by="model"), 4)
+
+
+def _date_grid(spark, sf_dir, grid: dict) -> DataFrame:
+    """Mean/std validation RMSE, mean train RMSE and rank of every setting over 3 expanding date folds."""
     from pyspark.sql import Window
 
-    return round_cols(df.withColumn("rank", F.rank().over(Window.orderBy("mean_test_rmse"))), 4)  # 3 rows
+    train, _ = _sales_frames(spark, sf_dir)
+    folds = cut_lineage(ts.expanding_date_folds(train.drop("is_test"), "week", 3))
+    part = lambda k, role: folds.filter((F.col("fold") == k) & (F.col("role") == role)).drop("fold", "role")
+
+    def scored(job):
+        name, fit, k = job
+        model = fit(part(k, "train"))
+        both = [_floored(model.transform(part(k, r))).select(F.lit(name).alias("model"), F.lit(k).alias("fold"), F.lit(r).alias("role"), "weekly_sales", "prediction") for r in ("train", "validate")]
+        return M.regression_metrics(both[0].unionByName(both[1]), "weekly_sales", "prediction", by=["model", "fold", "role"]).select("model", "fold", "role", "rmse").collect()
+
+    rows = [tuple(r) for part_rows in L.grid_search(scored, [(n, f, k) for n, f in grid.items() for k in range(3)]) for r in part_rows]
+    df = spark.createDataFrame(rows, "model string, fold int, role string, rmse double")  # settings × folds × roles
+    out = df.groupBy("model").agg(
+        F.avg(F.when(F.col("role") == "validate", F.col("rmse"))).alias("mean_test_rmse"),
+        F.stddev_pop(F.when(F.col("role") == "validate", F.col("rmse"))).alias("std_test_rmse"),
+        F.avg(F.when(F.col("role") == "train", F.col("rmse"))).alias("mean_train_rmse"),
+    )
+    return round_cols(out.withColumn("rank", F.rank().over(Window.orderBy("mean_test_rmse"))), 4)
+
+
+def grid_cv_timeseries(spark, sf_dir):
+    """L13 + W8: ridge α grid over 3 expanding date folds."""
+    return _date_grid(spark, sf_dir, {n: f for n, f in _sales_grid().items() if n.startswith("ridge")})
+
+
+def sales_grid_cv(spark, sf_dir):
+    """L13 + W8: every sales setting (ridge, forest, boosting) over 3 expanding date folds."""
+    return _date_grid(spark, sf_dir, _sales_grid())
 
 
 def permutation_importance(spark, sf_dir):
-    """RMSE increase when one feature is shuffled (5 repeats) for ridge α = 1."""
+    """RMSE increase when one feature is shuffled (5 repeats) for ridge α = 1, in one long frame."""
     train, test = _sales_frames(spark, sf_dir)
     model = _ridge(train, 1.0)
-    test = test.withColumn("row_id", F.concat_ws(":", F.col("store").cast("string"), F.col("week").cast("string"))).persist()
+    test = cut_lineage(test.withColumn("row_id", F.concat_ws(":", F.col("store").cast("string"), F.col("week").cast("string"))))
     base = M.regression_metrics(model.transform(test), "weekly_sales", "prediction").first()["rmse"]
-    rows = []
-    for feat in SALES_FEATS:
-        drops = []
-        for rep in range(5):
-            shuffled = L.permute_column(test, "row_id", feat, seed=1000 * rep + 42)
-            rmse = M.regression_metrics(model.transform(shuffled), "weekly_sales", "prediction").first()["rmse"]
-            drops.append(rmse - base)
-        rows.append((feat, statistics.fmean(drops), statistics.pstdev(drops)))
-    df = spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
-    return round_cols(df, 4)
+    shuffled = model.transform(L.permuted_frames(test, "row_id", SALES_FEATS, 5))
+    per = M.regression_metrics(shuffled, "weekly_sales", "prediction", by=["feature", "rep"])
+    drop = F.col("rmse") - F.lit(base)
+    return round_cols(per.groupBy("feature").agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")), 4)
+
+
+NAIVE = {"naive_52": "lag_52", "naive_1": "lag_1", "mean_4": "rolling_mean_4", "mean_13": "rolling_mean_13"}
+
+
+def prediction_table(spark, sf_dir):
+    """The last 20 weeks with the actual value and one column per forecast."""
+    f = ts.holdout_last_dates(featured_sales(spark, sf_dir), "week", 20).filter(F.col("is_test") == 1)
+    return round_cols(f.select("store", "week", F.col("weekly_sales").cast("double").alias("actual"), *[F.col(c).cast("double").alias(n) for n, c in NAIVE.items()]), 4)
+
+
+def forecast_by_date(spark, sf_dir):
+    """M15 + G7: actual and forecast totals by week."""
+    p = prediction_table(spark, sf_dir)
+    return round_cols(p.groupBy("week").agg(*[F.sum(c).alias(c) for c in ("actual", *NAIVE)]), 2)
 
 
 # ---------------------------------------------------------------- loans (T4) -------------
@@ -139,7 +190,7 @@ def _loan_frames(spark, sf_dir):
     d, train, fills, scaler = _fit_loans(spark, sf_dir)
     enc = E.standardize(E.impute(d, fills), scaler)
     weights = X.class_weights(enc.filter(F.col("split") == "train"), "label")
-    enc = X.with_weight(enc, "label", weights, "balanced_w").withColumn("label", F.col("label").cast("double")).persist()
+    enc = cut_lineage(X.with_weight(enc, "label", weights, "balanced_w").withColumn("label", F.col("label").cast("double")))
     return enc.filter(F.col("split") == "train"), enc.filter(F.col("split") == "test")
 
 
@@ -183,7 +234,7 @@ def grid_holdout(spark, sf_dir):
     """Tree grid chosen on a stratified 25 % validation part of train (macro-F1, then
     accuracy), refit on all train, test used once."""
     train, test = _loan_frames(spark, sf_dir)
-    parts = X.stratified_split(train, "loan_id", "label", 0.25, 43, "_s").persist()
+    parts = cut_lineage(X.stratified_split(train, "loan_id", "label", 0.25, 43, "_s"))
     fit, val = parts.filter(F.col("_s") == "train"), parts.filter(F.col("_s") == "test")
     grid = [{"depth": d, "leaf": l} for d in (3, 5, 8, L.MAX_DEPTH) for l in (5, 15)]
 
@@ -207,7 +258,7 @@ def _ops_frames(spark, sf_dir):
     ops = view(spark, sf_dir, "v_ops").select("row_key", "product_type", *OPS_NUM[:5], *FLAGS, "failure")
     ops = ops.select("*", *sensor_features())
     s = X.three_way_split(ops, "row_key", "failure", 0.2, 0.25)
-    s = s.withColumn("label", F.col("failure").cast("double")).persist()
+    s = cut_lineage(s.withColumn("label", F.col("failure").cast("double")))
     train = s.filter(F.col("split") == "train")
     pw = train.select(F.count_if(F.col("failure") == 0) / F.greatest(F.count_if(F.col("failure") == 1), F.lit(1))).first()[0]
     s = s.withColumn("w", F.when(F.col("failure") == 1, F.lit(pw)).otherwise(F.lit(1.0)))
@@ -274,25 +325,84 @@ def multilabel_diagnosis(spark, sf_dir):
         p = model.transform(test.withColumn("y", F.col(flag).cast("double"))).select(
             F.lit(flag).alias("failure_type"), F.col("y").alias("label"), L.positive_probability(None).alias("score")
         )
+        p = cut_lineage(p)
         op = M.operating_point(p, "label", "score", 0.5, by="failure_type").select("failure_type", "precision", "recall", "f1", "tp", "P")
+        op = op.join(M.average_precision(p, "label", "score", by="failure_type"), "failure_type", "left").withColumn("support", F.col("P"))
         out = op if out is None else out.unionByName(op)
     return round_cols(out, 6)
 
 
 # ---------------------------------------------------------------- tracks (T6) ------------
+TRACK_COLS = [f"f{i}" for i in range(64)]
+
+
+def _track_frames(spark, sf_dir):
+    """Stratified 80/20 split, numbers scaled on the training part."""
+    s = X.stratified_split(view(spark, sf_dir, "v_tracks"), "vec_id", "label", 0.2)
+    train = s.filter(F.col("split") == "train")
+    z = cut_lineage(E.standardize(s, E.fit_standard(train, TRACK_COLS)).withColumn("label", F.col("label").cast("double")))
+    return z.filter(F.col("split") == "train"), z.filter(F.col("split") == "test")
+
+
+def tracks_models(spark, sf_dir):
+    """L4 + L6 for 10 classes: multinomial logistic, forests and a tree; accuracy and macro-F1 on the test part."""
+    train, test = _track_frames(spark, sf_dir)
+    va = VectorAssembler(inputCols=TRACK_COLS, outputCol="features")
+    train, test = va.transform(train), va.transform(test)
+
+    def fit(job):
+        return job[1].fit(train).transform(test).select(F.lit(job[0]).alias("model"), "label", "prediction")
+
+    preds = L.grid_search(fit, list(L.multiclass_learners(train.count(), 10).items()), parallel=3)
+    out = preds[0]
+    for p in preds[1:]:
+        out = out.unionByName(p)
+    return round_cols(M.class_summary(out, "label", "prediction", by="model"), 6)
+
+
+def tracks_grid_cv(spark, sf_dir):
+    """5-fold stratified accuracy of the multinomial logistic settings on the training part."""
+    train, _ = _track_frames(spark, sf_dir)
+    folds = X.stratified_folds(train, "vec_id", "label", 5)
+    folds = cut_lineage(VectorAssembler(inputCols=TRACK_COLS, outputCol="features").transform(folds).select("fold", "label", "features"))
+    grid = {n: e for n, e in L.multiclass_learners(train.count() * 4 // 5, 10).items() if n.startswith("logistic")}
+
+    def fit(job):
+        name, est, k = job
+        p = est.copy().fit(folds.filter(F.col("fold") != k)).transform(folds.filter(F.col("fold") == k))
+        return name, k, p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+
+    rows = L.grid_search(fit, [(n, e, k) for n, e in grid.items() for k in range(5)])
+    df = spark.createDataFrame(rows, "model string, fold int, accuracy double")
+    return round_cols(df.groupBy("model").agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy")), 6)
+
+
+def tracks_pca(spark, sf_dir):
+    """E11 + G6: two principal components of the scaled training columns; scores of every training row."""
+    train, _ = _track_frames(spark, sf_dir)
+    x = VectorAssembler(inputCols=TRACK_COLS, outputCol="features").transform(train)
+    model = PCA(k=2, inputCol="features", outputCol="pc").fit(x)
+    # a component's sign is free: its largest loading is made positive
+    sign = [1.0 if max(col, key=abs) > 0 else -1.0 for col in model.pc.toArray().T.tolist()]
+    pc, share = vector_to_array("pc"), model.explainedVariance.toArray().tolist()
+    return round_cols(model.transform(x).select(
+        "vec_id", F.col("label").cast("int").alias("label"), (pc[0] * sign[0]).alias("pc1"), (pc[1] * sign[1]).alias("pc2"),
+        F.lit(share[0]).alias("share1"), F.lit(share[1]).alias("share2")), 6)
+
+
 def rbf_svm_rff(spark, sf_dir):
     """RBF-kernel SVM via random Fourier features (gamma = 1/(d·var X)) + one-vs-rest
     linear SVM; stratified 80/20 split; accuracy and macro-F1 on test."""
     tr = view(spark, sf_dir, "v_tracks")
     cols = [f"f{i}" for i in range(64)]
-    s = X.stratified_split(tr, "vec_id", "label", 0.2).persist()
+    s = cut_lineage(X.stratified_split(tr, "vec_id", "label", 0.2))
     train = s.filter(F.col("split") == "train")
     sc = E.fit_standard(train, cols)
     z = E.standardize(s, sc)
     var = z.filter(F.col("split") == "train").select(F.avg(sum((F.col(c) * F.col(c) for c in cols[1:]), F.col(cols[0]) * F.col(cols[0])) / len(cols))).first()[0]
     gamma = 1.0 / (len(cols) * var) if var else 1.0 / len(cols)
     z = L.random_fourier(z, cols, 256, gamma).withColumn("label", F.col("label").cast("double"))
-    z = z.select("vec_id", "split", "label", "rff").persist()  # the feature map is computed once
+    z = cut_lineage(z.select("vec_id", "split", "label", "rff"))  # the feature map is computed once
     train, test = z.filter(F.col("split") == "train"), z.filter(F.col("split") == "test")
     n = train.count()
 
@@ -305,7 +415,17 @@ def rbf_svm_rff(spark, sf_dir):
     return round_cols(M.class_summary(out, "label", "prediction", by="model"), 6)
 
 
+_FORECASTS = ", ".join(f"round({c}, 4) AS {n}" for n, c in NAIVE.items())
+_FORECAST_SUMS = ", ".join(f"round(sum(round({c}, 4)), 2) AS {n}" for n, c in NAIVE.items())
+
 ORACLE = {
+    "prediction_table": with_views(
+        f"SELECT store, week, round(CAST(weekly_sales AS DOUBLE), 4) AS actual, {_FORECASTS.replace('(lag', '(CAST(lag').replace('2, 4)', '2 AS DOUBLE), 4)').replace('lag_1, 4)', 'lag_1 AS DOUBLE), 4)')} FROM test",
+        "v_sales", extra=_FEAT_CTE,
+    ),
+    "forecast_by_date": with_views(
+        f"SELECT week, round(sum(CAST(weekly_sales AS DOUBLE)), 2) AS actual, {_FORECAST_SUMS} FROM test GROUP BY week", "v_sales", extra=_FEAT_CTE
+    ),
     "ols_simple": with_views(
         """SELECT round(b, 6) AS slope, round(a, 6) AS intercept,
        round(avg(abs(a + b * quantity - target)), 6) AS mae,
@@ -324,6 +444,13 @@ QUERIES = {
     "ols_simple": ols_simple,
     "ols_quadratic": ols_quadratic,
     "ridge": ridge,
+    "sales_models": sales_models,
+    "sales_grid_cv": sales_grid_cv,
+    "prediction_table": prediction_table,
+    "forecast_by_date": forecast_by_date,
+    "tracks_models": tracks_models,
+    "tracks_grid_cv": tracks_grid_cv,
+    "tracks_pca": tracks_pca,
     "logit": logit,
     "tree": tree,
     "forest": forest,

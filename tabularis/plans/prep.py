@@ -9,6 +9,7 @@ from tabularis.operators import encoders as E
 from tabularis.operators import splits as X
 from tabularis.plans.common import round_cols, view
 from tabularis.plans.oracle_views import CTES, with_views
+from tabularis.session import cut_lineage
 
 # Category vocabularies of the loan view (used to name oracle columns).
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -45,7 +46,7 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit_loans(spark: SparkSession, sf_dir: str):
-    d = loans_split(spark, sf_dir).persist()  # fitted on and transformed: computed once
+    d = cut_lineage(loans_split(spark, sf_dir))  # fitted on and transformed: computed once
     train = d.filter(F.col("split") == "train")
     fills = {**E.fit_medians(train, ["amount"]), **E.fit_modes(train, ["priority"])}
     scaler = E.fit_standard(E.impute(train, fills), ["amount", "balance"])

@@ -231,3 +231,75 @@ def test_greedy_matching_one_to_one(spark):
     assert [r["tp_50"] for r in m] == [1, 1, 0]
     r = A.detection_map(truth, preds, 0.25).first()
     assert r["recall"] == pytest.approx(1.0) and r["precision"] == pytest.approx(2 / 3)
+
+
+def test_truncated_svd_equals_numpy(spark):
+    rng = np.random.default_rng(8)
+    M_ = np.where(rng.random((40, 25)) < 0.5, rng.normal(size=(40, 25)), 0.0)
+    M_ += np.outer(rng.normal(size=40), rng.normal(size=25)) * 2
+    rows = [(u, i, float(M_[u, i])) for u in range(40) for i in range(25)]
+    uf, vf, values = R.truncated_svd(spark.createDataFrame(rows, "user_id long, item_id long, c double"), 4, rounds=8)
+    U, S_, Vt = np.linalg.svd(M_)
+    assert values == pytest.approx(S_[:4], rel=1e-4)
+    f = [f"f{i}" for i in range(4)]
+    got = uf.toPandas().sort_values("user_id")[f].to_numpy() @ vf.toPandas().sort_values("item_id")[f].to_numpy().T
+    assert np.abs(got - (U[:, :4] * S_[:4]) @ Vt[:4]).max() < 0.05
+
+
+def test_unknown_user_is_an_error(spark):
+    users = spark.createDataFrame([(1,), (2,)], "user_id long")
+    recs = spark.createDataFrame([(1, 5), (2, 6)], "user_id long, item_id long")
+    assert R.for_user(recs, users, 2).first()["item_id"] == 6
+    with pytest.raises(ValueError):
+        R.for_user(recs, users, 9)
+
+
+def test_dbscan_chain_is_one_cluster_for_every_block_size(spark):
+    pts = spark.createDataFrame([(i, [0.1 * i, 0.0]) for i in range(400)], "id long, coords array<double>")
+    for block_rows in (2048, 40):
+        s = C.dbscan_summary(C.dbscan_grid(pts, [0.15], [3], block_rows)).first()
+        assert (s["clusters"], s["noise"]) == (1, 0)
+
+
+def test_one_value_in_all_rows_is_one_row_of_the_quantile_counts(spark):
+    df = spark.range(5000).select(F.lit(0.25).alias("x"), F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("y"))
+    got = P.quantile_values(df, ["x", "y"], [0.5, 0.9])
+    assert got[("x", 0.5)] == 0.25 and got[("x", 0.9)] == 0.25
+    assert got[("y", 0.5)] == pytest.approx(np.percentile(np.arange(0, 5000, 2), 50))
+
+
+def test_strict_requests(spark):
+    good = '{"product_type": "L", "air_temperature_k": 300, "process_temperature_k": 310.5, "rotational_speed_rpm": 1500, "torque_nm": 40.0, "tool_wear_min": 10}'
+    cases = {
+        "good": (good, []), "tabs": (good.replace(", ", ",\t") + "\n", []),
+        "single": (good.replace('"', "'"), ["json_invalid"]), "garbage": (good + " garbage", ["json_invalid"]),
+        "two": (good + good, ["json_invalid"]), "bracket": (good + "],[" + good, ["json_invalid"]), "array": ("[1]", ["json_invalid"]), "null": (None, ["json_invalid"]),
+        "faults": (good.replace('"L"', '"X"').replace("1500", "-5"), ["greater_than", "literal_error"]),
+        "quoted": (good.replace("40.0", '"40.0"'), ["float_type"]), "bool": (good.replace("40.0", "true"), ["float_type"]),
+        "missing": (good.replace(', "torque_nm": 40.0', ""), ["missing"]), "extra": (good[:-1] + ', "foo": 1}', ["extra_forbidden"]),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in cases.items()], "request_id string, body string")
+    for r in S.validate_requests(df).collect():
+        assert sorted(e["rule"] for e in r["errors"]) == cases[r["request_id"]][1], r["request_id"]
+        assert r["is_valid"] == (not cases[r["request_id"]][1])
+    with pytest.raises(ValueError):
+        S.require_rows(df.limit(0))
+
+
+def test_label_files_keep_the_image_id_on_every_line(spark, tmp_path):
+    from tabularis.sources import sinks
+
+    valid = spark.createDataFrame([(1, 1, "a 1"), (1, 2, "b 2"), (2, 1, "c 3")], "image_id long, line_no int, value string")
+    images = spark.createDataFrame([(1, "train"), (2, "train"), (3, "train")], "image_id long, split string")
+    sinks.write_label_files(valid, images, str(tmp_path / "labels"))
+    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "labels" / "split=train")).collect())
+    assert lines == ["1\ta 1", "1\tb 2", "2\tc 3", "3\t"]
+
+
+def test_crlf_label_files(spark, tmp_path):
+    from tabularis.sources import files
+
+    (tmp_path / "a.txt").write_bytes(b"1 0.5 0.5 0.1 0.1\r\n\t2 0.5 0.5 0.1 0.1\t\r\n")
+    lines = files.read_label_lines(spark, str(tmp_path))
+    got = A.parse_lines(lines).orderBy("line_no").collect()
+    assert [(r["line_no"], r["class_id"], r["reason"]) for r in got] == [(1, 1, None), (2, 2, None)]
