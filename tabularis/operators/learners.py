@@ -136,11 +136,3 @@ def boosting_by_class(rounds: int = 20) -> OneVsRest:
     """L7 multiclass: one boosted ensemble per class."""
     return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=4, seed=42), parallelism=4)
 
-
-def binary_report(pred: DataFrame, label: str, score: Column, by: str = "model") -> DataFrame:
-    """AUC, AP and accuracy at 0.5 for scored rows (one aggregate family per model)."""
-    s = pred.select(by, F.col(label).alias("label"), score.alias("score"))
-    auc = M.roc_auc(s, "label", "score", by=by)
-    ap = M.average_precision(s, "label", "score", by=by)
-    op = M.operating_point(s, "label", "score", 0.5, by=by).select(by, "accuracy", "precision", "recall", "f1")
-    return auc.join(ap, by).join(op, by)
