@@ -16,6 +16,7 @@ from tabularis.functions.columns import sensor_features
 from tabularis.operators import encoders as E
 from tabularis.operators import learners as L
 from tabularis.operators import metrics as M
+from tabularis.operators import oversample as O
 from tabularis.operators import splits as X
 from tabularis.operators import timeseries as ts
 from tabularis.plans.common import round_cols, view
@@ -218,6 +219,25 @@ def logit(spark, sf_dir):
     return round_cols(M.class_summary(preds, "label", "prediction", by="model"), 6)
 
 
+def smote_rows(spark, sf_dir):
+    """The synthetic loan rows that level the training classes."""
+    train, _ = _loan_frames(spark, sf_dir)
+    return round_cols(O.smote_nc(train, "loan_id", "label", LOAN_NUM, LOAN_CAT), 6)
+
+
+def smote_models(spark, sf_dir):
+    """E10 + L4 + L5: logistic regression and tree fitted on the training rows with synthetic rows added."""
+    train, test = _loan_frames(spark, sf_dir)
+    cols = ["label", *LOAN_NUM, *LOAN_CAT]
+    both = cut_lineage(train.select(*cols).unionByName(O.smote_nc(train, "loan_id", "label", LOAN_NUM, LOAN_CAT).select(*cols)))
+    est = {
+        "logistic_smote": LogisticRegression(regParam=1.0 / both.count(), elasticNetParam=0.0, standardization=False, maxIter=2000),
+        "tree_smote": DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=5, seed=42),
+    }
+    preds = [_classify(both, test, e, None, n) for n, e in est.items()]
+    return round_cols(M.class_summary(preds[0].unionByName(preds[1]), "label", "prediction", by="model"), 6)
+
+
 def tree(spark, sf_dir):
     """Decision tree, depth ∈ {3, 5, 8, unlimited→30} × leaf ∈ {5, 15}."""
     train, test = _loan_frames(spark, sf_dir)
@@ -452,6 +472,8 @@ QUERIES = {
     "tracks_grid_cv": tracks_grid_cv,
     "tracks_pca": tracks_pca,
     "logit": logit,
+    "smote_rows": smote_rows,
+    "smote_models": smote_models,
     "tree": tree,
     "forest": forest,
     "boosting": boosting,

@@ -235,10 +235,11 @@ def test_greedy_matching_one_to_one(spark):
 
 def test_truncated_svd_equals_numpy(spark):
     rng = np.random.default_rng(8)
-    M_ = np.where(rng.random((40, 25)) < 0.5, rng.normal(size=(40, 25)), 0.0)
-    M_ += np.outer(rng.normal(size=40), rng.normal(size=25)) * 2
+    M_ = 0.05 * rng.normal(size=(40, 25))
+    for scale in (8.0, 4.0, 2.0, 1.0):
+        M_ += scale * np.outer(rng.normal(size=40), rng.normal(size=25))
     rows = [(u, i, float(M_[u, i])) for u in range(40) for i in range(25)]
-    uf, vf, values = R.truncated_svd(spark.createDataFrame(rows, "user_id long, item_id long, c double"), 4, rounds=8)
+    uf, vf, values = R.truncated_svd(spark.createDataFrame(rows, "user_id long, item_id long, c double"), 4)
     U, S_, Vt = np.linalg.svd(M_)
     assert values == pytest.approx(S_[:4], rel=1e-4)
     f = [f"f{i}" for i in range(4)]
@@ -303,3 +304,26 @@ def test_crlf_label_files(spark, tmp_path):
     lines = files.read_label_lines(spark, str(tmp_path))
     got = A.parse_lines(lines).orderBy("line_no").collect()
     assert [(r["line_no"], r["class_id"], r["reason"]) for r in got] == [(1, 1, None), (2, 2, None)]
+
+
+def test_smote_rows_lie_between_neighbours(spark):
+    from tabularis.operators import oversample as O
+
+    rng = np.random.default_rng(9)
+    X_ = rng.normal(size=(70, 2))
+    rows = [(i, 1 if i < 20 else 0, float(a), float(b), "ab"[i % 2]) for i, (a, b) in enumerate(X_)]
+    df = spark.createDataFrame(rows, "id long, y int, u double, v double, c string")
+    got = O.smote_nc(df, "id", "y", ["u", "v"], ["c"], block_rows=8).toPandas()
+    assert len(got) == 30 and set(got["y"]) == {1}
+    m = X_[:20]
+    step = np.median(m.std(0))
+    cat = np.arange(20) % 2
+    D = np.sqrt(((m[:, None] - m[None]) ** 2).sum(-1) + step**2 * (cat[:, None] != cat[None]))
+    np.fill_diagonal(D, np.inf)
+    near = np.argsort(D, axis=1)[:, :5]
+    for r in got.itertuples():
+        assert r.near in near[r.base]
+        assert (r.u, r.v) == pytest.approx(tuple(m[r.base] + r.draw * (m[r.near] - m[r.base])))
+        votes = [cat[j] for j in near[r.base]]
+        assert r.c == ("a" if votes.count(0) > votes.count(1) else "b")
+    assert O.smote_nc(df.filter("y = 1"), "id", "y", ["u", "v"], ["c"]).count() == 0
