@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import pick
+from tabularis.llm.common import lean, pick, small_batches
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
@@ -49,6 +49,7 @@ ASIDE_WORDS = frozenset(
     discussion related recommended newsletter subscribe subscription signup login footer foot header masthead topbar popup modal overlay widget widgets toolbar
     pagination pager copyright legal skip hidden paywall teaser""".split()
 )
+ASIDE_STARTS = ("advert", "adslot", "adunit", "adbox", "sponsor", "comment", "sidebar", "cookie", "newsletter", "breadcrumb", "promo", "subscri", "footer", "navbar", "navlink", "disclaimer", "announcement")
 NOT_ASIDE = frozenset("with has no without".split())
 NEVER_ASIDE = frozenset("html body article main".split())
 #: A start tag closes the open element of these tags, up to the nearest container.
@@ -86,7 +87,7 @@ def _names(attributes: str) -> tuple[str, str, bool]:
 def _set_aside(names: str) -> bool:
     for token in names.split():
         words = {w.lower() for w in WORD.findall(token)}
-        if words & ASIDE_WORDS and not words & NOT_ASIDE:
+        if not words & NOT_ASIDE and (words & ASIDE_WORDS or any(w.startswith(ASIDE_STARTS) for w in words)):
             return True
     return False
 
@@ -265,7 +266,7 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def winning_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the path with the most votes of each host; equal votes go to the shorter, then smaller path."""
-    votes = pick(pages, "url", "html").mapInArrow(_vote_rows, "host string, path string, share long")
+    votes = pick(pages, "url", "html").mapInArrow(lean(_vote_rows), "host string, path string, share long")
     summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"))
     rank = F.struct(F.col("share"), -F.length("path"), F.col("path"))
     return summed.groupBy("host").agg(F.max_by("path", rank).alias("path"))
@@ -273,8 +274,9 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every page."""
+    small_batches(pages.sparkSession)
     p = pick(pages, "page_id", "url", "html")
     types = {f.name: f.dataType.simpleString() for f in p.schema.fields}
-    hosts = p.mapInArrow(_host_column, f"page_id {types['page_id']}, url string, html string, host string")
+    hosts = p.mapInArrow(lean(_host_column), f"page_id {types['page_id']}, url string, html string, host string")
     joined = hosts.join(winning_paths(pages), "host", "left").select("page_id", "url", "html", "path")
-    return joined.mapInArrow(_text_rows, f"page_id {types['page_id']}, url string, text string")
+    return joined.mapInArrow(lean(_text_rows), f"page_id {types['page_id']}, url string, text string")
