@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularis.llm.common import doc_texts, public_id
+from tabularis.llm.common import doc_texts, lean, public_id, small_batches
 
 WORD_END = "</w>"
 NO_RANK = 1 << 30
 CACHE_ENTRIES = 1 << 17  # chunks remembered by a worker; beyond that the memory starts anew
-BATCH, WIDEST = 1 << 14, 64  # words with a tree of at most WIDEST leaves go through their steps together
-SLICE = 1 << 21
+BATCH, WIDEST = 1 << 13, 64  # words with a tree of at most WIDEST leaves go through their steps together
+SLICE = 1 << 20
 SLOT_BITS, SLOT_FACTOR = 19, np.uint64(0x9E3779B97F4A7C15)
 ODD_SPACES = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 #: Fixed: what the tokenizer takes as white space, for a character class.
@@ -276,6 +276,7 @@ def _loaded(spec, make):
 
 
 def _shared(df: DataFrame, path: str):
+    small_batches(df.sparkSession)
     return df.sparkSession.sparkContext.broadcast(load_tokenizer(path) | {"key": path})
 
 
@@ -289,7 +290,7 @@ def encode(df: DataFrame, path: str, column: str = "text", out: str = "ids") ->
             ids = pa.array(bpe.encode_all(b.column(column).fill_null("").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def decode(df: DataFrame, path: str, column: str = "ids", out: str = "decoded") -> DataFrame:
@@ -302,7 +303,7 @@ def decode(df: DataFrame, path: str, column: str = "ids", out: str = "decoded")
             texts = pa.array([decoder.decode(i.as_py() or b"") for i in b.column(column)], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], names=[*b.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def tokenize_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -7,8 +7,10 @@ and is given back as null. A null text is the empty text.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,35 @@ from pyspark.sql import functions as F
 from tabularis.session import ensure_checkpoint_dir
 
 NULL_ID = 2**63 - 1
+#: Most rows and bytes of an Arrow batch, so that a worker's memory follows neither row counts nor text lengths.
+BATCH_ROWS, BATCH_BYTES = 4000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches (a smaller setting of the user stays)."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
+def lean(run: Callable) -> Callable:
+    """A function of batches that gives freed memory back to the system when its task ends.
+
+    Spark keeps idle Python workers, and the allocators keep what a worker once used.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: nothing to give back
+            return
+
+    return wrapped
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -32,6 +63,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 def doc_texts(docs: DataFrame) -> DataFrame:
     """(id long, text string) without nulls."""
+    small_batches(docs.sparkSession)
     d = pick(docs, "doc_id", "text")
     return d.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
@@ -58,7 +90,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def byte_slices(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def byte_slices(column: pa.Array, target: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices (first row, end row, bytes, offsets) of a non-null string column of about ``target`` bytes.
 
     A slice holds whole values; a longer value makes a slice of its own. ``offsets`` start at 0.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularis.llm.common import byte_slices, doc_texts, pick, public_id
+from tabularis.llm.common import byte_slices, doc_texts, lean, pick, public_id, small_batches
 from tabularis.llm.words import Words, mixed
 
 SHINGLE = 5
@@ -166,6 +166,7 @@ _INDEXES: dict = {}
 
 
 def _with_matches(rows: DataFrame, items: list[tuple[int, str]], key: str) -> DataFrame:
+    small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast((key, items))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "matches"] + [T.StructField("matches", MATCHES)])
 
@@ -182,7 +183,7 @@ def _with_matches(rows: DataFrame, items: list[tuple[int, str]], key: str) -> Da
             cells = pa.array([[dict(zip(("item_id", "word", "words", "similarity"), x, strict=True)) for x in m] for m in found], _MATCH)
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), cells], names=[*names, "matches"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def with_matches(rows: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularis.llm.common import NULL_ID, doc_texts, pick, shuffle_width, written
+from tabularis.llm.common import NULL_ID, doc_texts, lean, pick, shuffle_width, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -117,16 +117,16 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     bytes, up to the last dropped line (later lines are kept).
     """
     d = doc_texts(docs).select("id", F.xxhash64("text").alias("t"), "text")
-    lines = d.mapInArrow(_line_rows(min_chars), "h1 long, h2 long, id long, t long, pos int")
+    lines = d.mapInArrow(lean(_line_rows(min_chars)), "h1 long, h2 long, id long, t long, pos int")
     lines = lines.repartitionByRange(shuffle_width(docs.sparkSession), "h1", "h2", "id")
-    found = written(lines.sortWithinPartitions("h1", "h2", "id", "t", "pos").mapInArrow(_repeats, OUT_SCHEMA), "lines")
+    found = written(lines.sortWithinPartitions("h1", "h2", "id", "t", "pos").mapInArrow(lean(_repeats), OUT_SCHEMA), "lines")
     marks = found.where(F.col("kind") == MARK).groupBy("h1", "h2").agg(F.min("id").alias("first_id"))
     settled = (
         found.where(F.col("kind") == OPEN).join(F.broadcast(marks), ["h1", "h2"]).where(F.col("id") != F.col("first_id")).select("id", "t", "pos")
     )
     dropped = found.where(F.col("kind") == REPEAT).select("id", "t", "pos").unionByName(settled)
     per_doc = dropped.groupBy("id", "t").agg(F.collect_set("pos").alias("places"))
-    return per_doc.mapInArrow(_bitmaps, "id long, t long, n_dropped long, keep binary")
+    return per_doc.mapInArrow(lean(_bitmaps), "id long, t long, n_dropped long, keep binary")
 
 
 def _kept_texts(min_chars: int):
@@ -166,7 +166,7 @@ def dedup_rows(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     gone = keep_bitmaps(docs, min_chars).select(F.col("id").alias("_id"), F.col("t").alias("_t"), F.col("n_dropped").alias("_n"), F.col("keep").alias("_keep"))
     joined = d.join(gone, ["_id", "_t"], "left").select(*others, "text", F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"), "_keep")
     schema = T.StructType([*joined.schema.fields[:-1], T.StructField("n_lines", T.LongType()), T.StructField("long_left", T.BooleanType())])
-    return joined.mapInArrow(_kept_texts(min_chars), schema)
+    return joined.mapInArrow(lean(_kept_texts(min_chars)), schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import byte_slices, doc_texts, public_id, written
+from tabularis.llm.common import byte_slices, doc_texts, lean, public_id, written
 from tabularis.llm.components import components
 from tabularis.llm.words import Words, mixed, shingles
 
@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     ``rows`` signature values make a band, see above for what a percentage needs. A node of the link graph is a set, named by 64 bits of its digest.
     """
     texts = doc_texts(docs)
-    sig = written(texts.mapInArrow(_signature_rows(rows), "id long, n long, d1 long, d2 long, keys array<long>"), "signatures")
+    sig = written(texts.mapInArrow(lean(_signature_rows(rows)), "id long, n long, d1 long, d2 long, keys array<long>"), "signatures")
     sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(F.min(F.struct("id", "n", "keys")).alias("s"))
     sets = written(sets.select("node", "s.*"), "sets")
     held = sets.select("node", F.explode("keys").alias("key"))
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     members = sets.join(classes, "node").select("node", "id", F.col("root").alias("class"), "n")
     blocks = members.groupBy("class").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     members = members.join(blocks, "class").select("node", "id", "class", "blocks", F.pmod(F.xxhash64("node", "id"), "blocks").alias("block"))
-    grams = texts.join(members, "id").mapInArrow(_set_rows, "node long, class long, blocks long, block long, grams binary")
+    grams = texts.join(members, "id").mapInArrow(lean(_set_rows), "node long, class long, blocks long, block long, grams binary")
     tasks = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.select("node", "grams", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     links = tasks.groupBy("class", "one", "two").applyInArrow(_verify(percent), "a long, b long")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import doc_texts, public_id
+from tabularis.llm.common import doc_texts, lean, public_id
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "iban", "account", "secret")
@@ -147,7 +147,7 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of every whole text."""
-    return doc_texts(docs).mapInArrow(_run, f"id long, spans {SPANS}").select(public_id().alias("doc_id"), "spans")
+    return doc_texts(docs).mapInArrow(lean(_run), f"id long, spans {SPANS}").select(public_id().alias("doc_id"), "spans")
 
 
 def spans_text(spans: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularis.llm.common import byte_slices, doc_texts, pick, public_id, written
+from tabularis.llm.common import byte_slices, doc_texts, lean, pick, public_id, small_batches, written
 from tabularis.llm.words import IS_SPACE, Words
 
 FEATURES = 192  # random features
@@ -119,7 +119,7 @@ def document_stats(docs: DataFrame) -> DataFrame:
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(STATS), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("id"), flat], names=["id", "x"])
 
-    return doc_texts(docs).mapInArrow(run, "id long, x array<double>")
+    return doc_texts(docs).mapInArrow(lean(run), "id long, x array<double>")
 
 
 def fold_of(c: str = "id"):
@@ -174,7 +174,7 @@ def _normal_sums(train: DataFrame, mean: np.ndarray, scale: np.ndarray) -> dict[
         return pd.DataFrame({"fold": pdf["fold"][:1], "line": pdf["line"][:1], "sums": [np.sum(np.vstack(pdf["sums"]), axis=0)]})
 
     schema = "fold int, line int, sums array<double>"
-    rows = train.mapInPandas(partial, schema).groupBy("fold", "line").applyInPandas(added, schema).collect()
+    rows = train.mapInPandas(lean(partial), schema).groupBy("fold", "line").applyInPandas(added, schema).collect()
     out: dict[int, np.ndarray] = {}
     for r in rows:
         out.setdefault(r["fold"], np.zeros((size, size + 1)))[r["line"]] = r["sums"]
@@ -223,7 +223,7 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
             yield pd.DataFrame({"raw": raw, "y": pdf["y"].to_numpy()})
 
     spot = F.floor((F.greatest(F.least(F.col("raw"), F.lit(2.0)), F.lit(-1.0)) + 1) / 3 * BINS)
-    bins = train.mapInPandas(unseen, "raw double, y double").groupBy(spot.alias("bin")).agg(F.count("*").alias("n"), F.avg("raw").alias("raw"), F.avg("y").alias("y"))
+    bins = train.mapInPandas(lean(unseen), "raw double, y double").groupBy(spot.alias("bin")).agg(F.count("*").alias("n"), F.avg("raw").alias("raw"), F.avg("y").alias("y"))
     bins = bins.orderBy("bin").toPandas()
     raw, level = [], []
     for a, b, v in pooled(bins["y"].to_numpy(), bins["n"].to_numpy(float)):
@@ -239,11 +239,12 @@ def score_stats(stats: DataFrame, model: QualityModel) -> DataFrame:
         for pdf in frames:
             yield pd.DataFrame({"id": pdf["id"], "score": model.score(_matrix(pdf))})
 
-    return stats.mapInPandas(run, "id long, score double")
+    return stats.mapInPandas(lean(run), "id long, score double")
 
 
 def score_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
     """``docs`` with a ``score`` column, in one pass over the texts."""
+    small_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +252,7 @@ def score_rows(docs: DataFrame, model: QualityModel) -> DataFrame:
             score = model.score(_stats_column(b.column("text").fill_null("")))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*b.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import byte_slices, doc_texts, public_id, shuffle_width, written
+from tabularis.llm.common import byte_slices, doc_texts, lean, public_id, shuffle_width, written
 from tabularis.llm.words import SEED, mixed, prefix_hash, span_hash
 
 LENGTH, GRAM = 400, 64
@@ -278,7 +278,7 @@ def _position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _double_wide(contexts: DataFrame) -> DataFrame:
     blocks = [f"b{k}" for k in range(len(STEPS))]
-    rows = contexts.mapInArrow(_position_rows, "id long, t long, start int, rank long, " + ", ".join(f"{b} long" for b in blocks))
+    rows = contexts.mapInArrow(lean(_position_rows), "id long, t long, start int, rank long, " + ", ".join(f"{b} long" for b in blocks))
     for b in blocks:
         rows = rows.withColumn("pair", F.xxhash64("rank", b))
         several = rows.groupBy("pair").agg(F.count("*").alias("n")).where("n > 1").select("pair")
@@ -289,9 +289,9 @@ def _double_wide(contexts: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, t, start, end): byte spans that repeated strings cover; spans may overlap. t = xxhash64(text)."""
     texts = doc_texts(docs).select("id", F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text"))
-    rows = texts.mapInArrow(_stretch_rows, ROW)
+    rows = texts.mapInArrow(lean(_stretch_rows), ROW)
     rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "gram", "whole", "id", "first").sortWithinPartitions("gram", "whole", "id", "t", "first")
-    found = written(rows.mapInArrow(_runs, FOUND), "stretches")
+    found = written(rows.mapInArrow(lean(_runs), FOUND), "stretches")
     opened = found.where("open")
     wholes = opened.groupBy("gram", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("id", "t", "first")).alias("one"))
     grams = wholes.groupBy("gram").agg(F.sum("copies").alias("in_gram"), F.count("*").alias("kinds"))
@@ -302,7 +302,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     asked = known.where("stands").groupBy("id", "t").agg(F.collect_set(F.struct("gram", "first", "size", "back")).alias("asked"))
     # equal rows give equal stretches, all of them repeated as a whole already
     contexts = texts.join(asked, ["id", "t"]).select("id", "t", "text", "asked")
-    contexts = contexts.mapInArrow(_contexts, "gram long, id long, t long, first int, back short, bytes binary")
+    contexts = contexts.mapInArrow(lean(_contexts), "gram long, id long, t long, first int, back short, bytes binary")
     wide = known.where("stands").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > WIDE).select("gram")
     wide = written(wide, "wide")
     if wide.isEmpty():
@@ -310,7 +310,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     else:
         contexts = written(contexts, "contexts")
         narrow, wide_spans = contexts.join(wide, "gram", "left_anti"), _double_wide(contexts.join(wide, "gram", "left_semi"))
-    spans = narrow.repartition(shuffle_width(docs.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(_double, SPANS)
+    spans = narrow.repartition(shuffle_width(docs.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(lean(_double), SPANS)
     spans = spans.unionByName(known.where("repeated").select("id", "t", F.col("first").alias("start"), (F.col("first") + F.col("size")).alias("end")))
     return spans if wide_spans is None else spans.unionByName(wide_spans)
 
@@ -341,5 +341,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = doc_texts(docs).select("id", F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text"))
     spans = repeated_spans(docs).groupBy("id", "t").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     out = texts.join(spans, ["id", "t"], "left").select("id", "text", "spans")
-    out = out.mapInArrow(_cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = out.mapInArrow(lean(_cut), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(public_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
