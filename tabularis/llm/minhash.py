@@ -163,7 +163,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     sets = written(sets.select("node", "s.*"), "sets")
     held = sets.select("node", F.explode("keys").alias("key"))
     low = held.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("m")).where("m > 1").select("key", "low")
-    stars = held.join(low, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    stars = held.join(low, "key").where("node <> low").groupBy("node").agg(F.min("low").alias("b"), F.collect_set("low").alias("lows"))
+    # a set ties the centres of its bands together: one edge to the smallest centre for it and for each of the
+    # others, which are few once repeats are dropped (the set of lows has at most one entry a band)
+    stars = stars.select(F.explode(F.array_union(F.array("node"), "lows")).alias("a"), "b").where("a <> b").distinct()
     classes = components(stars)
     members = sets.join(classes, "node").select("node", "id", F.col("root").alias("class"), "n")
     blocks = members.groupBy("class").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
