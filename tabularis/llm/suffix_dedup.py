@@ -9,7 +9,8 @@ Every text is UTF-8 bytes; a byte is removed if it lies in a 400-byte string tha
    one row (gram, hash of the stretch's bytes, document, place): rows are a fiftieth of the positions' size.
 2. Spark range-partitions and sorts the rows by (gram, stretch, document, place); a task streams them.
    Unique grams end here. Stretches that stand twice are repeated as a whole. The runs at a partition's two
-   ends may continue next door: they are settled by a grouped count of those open rows alone.
+   ends may continue next door: one row for each of their stretches, with its number of copies, stays open
+   and is settled by a grouped count, so that a stretch that fills the table gives a row a partition.
 3. What is left, different stretches under one gram, goes through prefix doubling: the (rank, hash of the
    next block) pairs of their positions are sorted at growing offsets 64, 128, 256 and 400 and reranked;
    unique positions drop out at every step. Spark sorts the stretches by gram and a task doubles the
@@ -104,35 +105,35 @@ def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 #: What is known of a stretch: repeated as a whole; the one that stands for its copies; in an open run.
-FOUND = ROW + ", repeated boolean, stands boolean, open boolean"
+FOUND = ROW + ", repeated boolean, stands boolean, copies int"  # copies: of an open row, else 0
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stream rows sorted by gram, stretch, document, place; give those whose gram stands twice.
 
-    A run of one gram is complete when the next gram begins. The first and the last run of a partition
-    are given as open rows, as are the runs that outgrow ``WIDE`` rows (their rows stream through).
+    A run of one gram is complete when the next gram begins. Of the first and the last run of a
+    partition, and of runs that outgrow ``WIDE`` rows (their rows stream through), the first row of every
+    stretch stays open; its other copies are known to be repeated.
     """
     held: list[pa.Table] = []
     count, seen_first, streaming = 0, False, None
 
     def flush(table: pa.Table, is_open: bool) -> pa.RecordBatch | None:
         gram, whole = table.column("gram").to_numpy(), table.column("whole").to_numpy()
+        new_gram = np.r_[True, gram[1:] != gram[:-1]]
+        new = new_gram | np.r_[True, whole[1:] != whole[:-1]]
+        run, sub = np.cumsum(new_gram) - 1, np.cumsum(new) - 1
+        same = np.bincount(sub)[sub]  # copies of the row's stretch, itself included
         if is_open:
-            flags = np.zeros(len(gram), bool), np.zeros(len(gram), bool), np.ones(len(gram), bool)
-            keep = np.ones(len(gram), bool)
+            keep, stands, copies = np.ones(len(gram), bool), np.zeros(len(gram), bool), np.where(new, same, 0)
         else:
-            new_gram = np.r_[True, gram[1:] != gram[:-1]]
-            new = new_gram | np.r_[True, whole[1:] != whole[:-1]]
-            run, sub = np.cumsum(new_gram) - 1, np.cumsum(new) - 1
-            repeated = np.bincount(sub)[sub] > 1
             keep = np.bincount(run)[run] > 1
-            several = np.bincount(run[new])[run] > 1  # different stretches under the gram
-            flags = repeated, new & several, np.zeros(len(gram), bool)
+            stands = new & (np.bincount(run[new])[run] > 1)  # there are different stretches under the gram
+            copies = np.zeros(len(gram), np.int64)
         if not keep.any():
             return None
-        arrays = [table.column(n).combine_chunks() for n in NAMES] + [pa.array(f) for f in flags]
-        return pa.RecordBatch.from_arrays(arrays, names=[*NAMES, "repeated", "stands", "open"]).filter(pa.array(keep))
+        arrays = [table.column(n).combine_chunks() for n in NAMES] + [pa.array(same > 1), pa.array(stands), pa.array(copies.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(arrays, names=[*NAMES, "repeated", "stands", "copies"]).filter(pa.array(keep))
 
     for b in batches:
         if not b.num_rows:
@@ -292,12 +293,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = texts.mapInArrow(lean(_stretch_rows), ROW)
     rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "gram", "whole", "id", "first").sortWithinPartitions("gram", "whole", "id", "t", "first")
     found = written(rows.mapInArrow(lean(_runs), FOUND), "stretches")
-    opened = found.where("open")
-    wholes = opened.groupBy("gram", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("id", "t", "first")).alias("one"))
-    grams = wholes.groupBy("gram").agg(F.sum("copies").alias("in_gram"), F.count("*").alias("kinds"))
+    opened = found.where("copies > 0")
+    wholes = opened.groupBy("gram", "whole").agg(F.sum("copies").alias("in_whole"), F.min(F.struct("id", "t", "first")).alias("one"))
+    grams = wholes.groupBy("gram").agg(F.sum("in_whole").alias("in_gram"), F.count("*").alias("kinds"))
     settled = opened.join(wholes, ["gram", "whole"]).join(grams, "gram").where("in_gram > 1")
-    settled = settled.withColumn("repeated", F.col("copies") > 1).withColumn("stands", (F.col("kinds") > 1) & (F.struct("id", "t", "first") == F.col("one")))
-    known = found.where("not open").select(*NAMES, "repeated", "stands").unionByName(settled.select(*NAMES, "repeated", "stands"))
+    settled = settled.withColumn("repeated", F.col("in_whole") > 1).withColumn("stands", (F.col("kinds") > 1) & (F.struct("id", "t", "first") == F.col("one")))
+    known = found.where("copies = 0").select(*NAMES, "repeated", "stands").unionByName(settled.select(*NAMES, "repeated", "stands"))
     known = written(known, "repeats")
     asked = known.where("stands").groupBy("id", "t").agg(F.collect_set(F.struct("gram", "first", "size", "back")).alias("asked"))
     # equal rows give equal stretches, all of them repeated as a whole already
