@@ -33,11 +33,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document holds; n_chars follows the text.
 
-    A document is dropped if it lost lines and none that is long enough to be compared is left.
+    A document is dropped only if it lost lines and nothing but white space is left.
     """
     ship(spark)
     found = line_dedup.dedup_rows(pick(docs, *COLUMNS))
-    kept = found.where("long_left")
+    kept = found.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
     return kept.select("doc_id", "text", "lang", "source", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 

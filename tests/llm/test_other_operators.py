@@ -241,3 +241,11 @@ def test_pipeline_edges(spark, docs_of, clashing):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.count()
+
+
+def test_pipeline_keeps_short_lines(spark, docs_of):
+    """A document of short lines outlives the loss of a shared line; one that is left without text does not."""
+    shared = "this footer line stands in both documents"
+    rows = [(1, f"a first text with its own long line\n{shared}"), (2, f"red\n{shared}\ntea"), (3, shared), (4, f" \n{shared}\n"), (5, "\n"), (6, f"字体\n{shared}")]
+    found = corpus_pipeline.drop_repeated_lines(spark, docs_of(rows), SF).collect()
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in found if r["doc_id"] > 1) == [(2, "red\ntea", 7), (5, "\n", 1), (6, "字体", 2)]
