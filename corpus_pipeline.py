@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularis.llm import bpe, decontam, line_dedup, minhash, quality
-from tabularis.llm.common import NULL_ID, pick, written
+from tabularis.llm.common import pick, written
 from tabularis.llm.queries import TOKENIZER
 from tabularis.session import ship
 from tabularis.sources.tables import read_table
@@ -42,11 +42,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of every class of near copies (similarity of 0.8 or more)."""
+    """One row, the smallest doc_id, of every class of near copies (similarity of 0.8 or more)."""
     ship(spark)
-    docs = pick(docs, *COLUMNS)
-    gone = minhash.near_duplicates(docs, percent=80, rows=5).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id")).distinct()
-    return docs.join(gone, F.coalesce("doc_id", F.lit(NULL_ID)) == gone["_id"], "left_anti").select(*COLUMNS)
+    return minhash.without_near_copies(pick(docs, *COLUMNS), percent=80, rows=5)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,8 @@ documents are linked if 100 * |intersection| >= percent * |union|; the classes a
 5. Components of the verified links, and the classes of all copies.
 
 Cases: null, empty and wordless texts have no shingles and are linked with nothing; rows that repeat a
-doc_id count as that document, with the union of the rows' links; an empty table gives an empty result.
+doc_id count as that document, with the union of the rows' links (``without_near_copies`` decides row by row
+instead); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import byte_slices, doc_texts, lean, public_id, written
+from tabularis.llm.common import NULL_ID, byte_slices, doc_texts, lean, public_id, written
 from tabularis.llm.components import components
 from tabularis.llm.words import Words, mixed, shingles
 
@@ -84,19 +85,24 @@ def _signature_rows(rows: int):
                 second.append(c)
                 keys.append(band_keys(signature(grams), rows) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "d1", "d2", "keys"],
+                [b.column("id"), b.column("t"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "t", "n", "d1", "d2", "keys"],
             )
 
     return run
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of candidate members; of rows that share an id only the one with the member's digest."""
+    """Sets of candidate members; of rows that share an id and a text's hash only those with the member's digest, once a batch."""
     for b in batches:
-        sets = [s.tobytes() for s in _sets(b.column("text"))]
-        same = pa.array([s != b"" and np.frombuffer(xxhash.xxh3_128_digest(s), "<i8")[0] == n.as_py() for s, n in zip(sets, b.column("node"), strict=True)], pa.bool_())
-        keep = [n for n in b.schema.names if n not in ("id", "text")]
+        sets, seen = [s.tobytes() for s in _sets(b.column("text"))], set()
+        same = []
+        for s, n in zip(sets, b.column("node").to_pylist(), strict=True):
+            same.append(s != b"" and n not in seen and np.frombuffer(xxhash.xxh3_128_digest(s), "<i8")[0] == n)
+            if same[-1]:
+                seen.add(n)
+        same = pa.array(same, pa.bool_())
+        keep = [n for n in b.schema.names if n not in ("id", "t", "text")]
         yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(sets, pa.binary())], names=[*keep, "grams"]).filter(same)
 
 
@@ -152,14 +158,14 @@ def _verify(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row, whole texts.
+def _linked(docs: DataFrame, percent: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, distinct sets with their smallest row (id, t), and verified links between sets.
 
-    ``rows`` signature values make a band, see above for what a percentage needs. A node of the link graph is a set, named by 64 bits of its digest.
+    ``t`` is ``xxhash64(text)``. A node of the link graph is a set, named by 64 bits of its digest.
     """
-    texts = doc_texts(docs)
-    sig = written(texts.mapInArrow(lean(_signature_rows(rows)), "id long, n long, d1 long, d2 long, keys array<long>"), "signatures")
-    sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(F.min(F.struct("id", "n", "keys")).alias("s"))
+    texts = doc_texts(docs).select("id", F.xxhash64("text").alias("t"), "text")
+    sig = written(texts.mapInArrow(lean(_signature_rows(rows)), "id long, t long, n long, d1 long, d2 long, keys array<long>"), "signatures")
+    sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(F.min(F.struct("id", "t", "n", "keys")).alias("s"))
     sets = written(sets.select("node", "s.*"), "sets")
     held = sets.select("node", F.explode("keys").alias("key"))
     low = held.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("m")).where("m > 1").select("key", "low")
@@ -168,13 +174,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     # others, which are few once repeats are dropped (the set of lows has at most one entry a band)
     stars = stars.select(F.explode(F.array_union(F.array("node"), "lows")).alias("a"), "b").where("a <> b").distinct()
     classes = components(stars)
-    members = sets.join(classes, "node").select("node", "id", F.col("root").alias("class"), "n")
+    members = sets.join(classes, "node").select("node", "id", "t", F.col("root").alias("class"), "n")
     blocks = members.groupBy("class").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    members = members.join(blocks, "class").select("node", "id", "class", "blocks", F.pmod(F.xxhash64("node", "id"), "blocks").alias("block"))
-    grams = texts.join(members, "id").mapInArrow(lean(_set_rows), "node long, class long, blocks long, block long, grams binary")
+    members = members.join(blocks, "class").select("node", "id", "t", "class", "blocks", F.pmod(F.xxhash64("node", "id"), "blocks").alias("block"))
+    grams = texts.join(members, ["id", "t"]).mapInArrow(lean(_set_rows), "node long, class long, blocks long, block long, grams binary")
     tasks = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.select("node", "grams", "class", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    links = tasks.groupBy("class", "one", "two").applyInArrow(_verify(percent), "a long, b long")
+    return sig, sets, tasks.groupBy("class", "one", "two").applyInArrow(_verify(percent), "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row, whole texts.
+
+    ``rows`` signature values make a band, see above for what a percentage needs.
+    """
+    sig, sets, links = _linked(docs, percent, rows)
     # different texts under one doc_id are one document: their sets are tied
     ids = sig.where("n > 0").groupBy("id").agg(F.min("d1").alias("b"), F.max("d1").alias("top")).where("b <> top")
     ties = sig.where("n > 0").join(ids, "id").where("d1 <> b").select(F.col("d1").alias("a"), "b")
@@ -187,3 +201,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     return out.select(
         public_id().alias("doc_id"), F.col("n").alias("n_shingles"), public_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )
+
+
+def without_near_copies(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one row of every class of near copies, the one with the smallest doc_id.
+
+    Decided row by row: rows that share an id, or have none, are not tied. A row is known by its id and its text's hash
+    ``t``; of rows that agree in both one stays, too. Rows without a shingle all stay.
+    """
+    sig, sets, links = _linked(docs, percent, rows)
+    found = components(links)
+    first = F.struct("id", "t")
+    named = found.join(sets, "node").groupBy("root").agg(F.min(first).alias("best"))
+    named = found.join(named, "root").select("node", "best")
+    best = sets.select("node", first.alias("own")).join(named, "node", "left").select(F.col("node").alias("d1"), F.coalesce("best", "own").alias("best"))
+    one = sig.where("n > 0").groupBy("id", "t", "d1").agg(F.count("*").alias("m")).join(best, "d1")
+    # what does not stay as it is: rows of another row's class (m = 0), and rows that stand m times
+    stays = F.col("best") == first
+    marks = one.where(~stays | (F.col("m") > 1)).select(F.col("id").alias("_id"), F.col("t").alias("_t"), F.when(stays, F.col("m")).otherwise(0).alias("_m"))
+    marks = written(marks, "near-marks")
+    d = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
+    single = d.join(marks, ["_id", "_t"], "left_anti").select(*docs.columns)
+    repeated = d.join(marks.where("_m > 1").select("_id", "_t"), ["_id", "_t"], "left_semi")
+    repeated = repeated.groupBy("_id", "_t").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return single.unionByName(repeated)

@@ -249,3 +249,18 @@ def test_pipeline_keeps_short_lines(spark, docs_of):
     rows = [(1, f"a first text with its own long line\n{shared}"), (2, f"red\n{shared}\ntea"), (3, shared), (4, f" \n{shared}\n"), (5, "\n"), (6, f"字体\n{shared}")]
     found = corpus_pipeline.drop_repeated_lines(spark, docs_of(rows), SF).collect()
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in found if r["doc_id"] > 1) == [(2, "red\ntea", 7), (5, "\n", 1), (6, "字体", 2)]
+
+
+def test_pipeline_near_copies_row_by_row(spark, docs_of):
+    """Rows that share an id or have none: a near copy goes, the other rows' different texts stay."""
+    rnd = random.Random(8)
+    text = lambda: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(80))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = lambda t: f"{t} end"
+    rows = [(5, a), (9, b), (None, near(a)), (None, near(b)), (None, c), (None, near(c)), (None, d), (None, d)]
+    rows += [(20, e), (30, near(e)), (30, f), (30, f), (30, f.upper()), (40, ""), (40, ""), (None, None)]
+    found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs_of(rows), SF).collect()]
+    count = lambda *xs: sum(r in xs for r in found)
+    assert count((5, a)) == count((9, b)) == count((20, e)) == 1 and count((None, near(a)), (None, near(b)), (30, near(e))) == 0
+    assert count((None, c), (None, near(c))) == count((None, d)) == count((30, f), (30, f.upper())) == 1
+    assert len(found) == 9 and count((40, "")) == 2 and count((None, None)) == 1
