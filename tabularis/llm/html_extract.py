@@ -6,7 +6,12 @@
    replaced), with its score as a share of the page's best; Spark adds the votes by host and path and
    takes the winning path of each host.
 3. Each page is read again and gives the blocks under the containers on its host's winning path; a page
-   without that path gives those of its own best container.
+   without that path gives those of its own best container. So does a page where that path holds less than ``MINOR``
+   of the best score, if the best container's path is a further template of the host: best on at least two pages,
+   on half of the pages that have it and on a hundredth of the host's pages.
+4. From there a page climbs to the highest container whose other parts are text and not links, so that an
+   article in several containers is whole. The climb ends at an article or main and below the body, except
+   for a body that is made of sections.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
 by tag, role, class and id wherever they stand. Character references are decoded, white space inside a block
@@ -20,14 +25,14 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.llm.common import lean, pick, small_batches
+from tabularis.llm.common import lean, pick, small_batches, written
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
@@ -55,6 +60,7 @@ NEVER_ASIDE = frozenset("html body article main".split())
 #: A start tag closes the open element of these tags, up to the nearest container.
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 SCOPE = frozenset("html body div article main section ul ol dl table aside nav header footer form blockquote".split())
+MINOR = 0.25
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -214,14 +220,47 @@ class Page:
             out[path] = max(out.get(path, 0.0), s / best)
         return out
 
-    def text(self, path: str | None) -> str:
+    def whole(self, chosen: set[int]) -> set[int]:
+        """Adds the containers above ``chosen`` whose other parts are text and not links."""
+        place = {id(b): i for i, b in enumerate(self.boxes)}
+        up = [place.get(id(b.parent.box), -1) if b.parent is not None else -1 for b in self.boxes]
+        size, links = [0] * len(up), [0] * len(up)
+        for box, text, linked in self.blocks:
+            size[place[id(box)]] += len(text)
+            links[place[id(box)]] += linked
+        linky = lambda i: size[i] > 0 and 2 * links[i] >= size[i]
+        bad = [int(linky(i)) for i in range(len(up))]  # parts of a container that are links
+        apart = [int(size[i] > 0) for i in range(len(up))]  # parts with text that are not sections
+        for i in range(len(up) - 1, 0, -1):  # containers stand after the ones around them
+            if up[i] >= 0 and size[i]:
+                size[up[i]] += size[i]
+                links[up[i]] += links[i]
+                bad[up[i]] += linky(i)
+                apart[up[i]] += self.boxes[i].tag != "section"
+        out = set(chosen)
+        for i in (place[b] for b in chosen):
+            while self.boxes[i].tag not in NEVER_ASIDE and (u := up[i]) >= 0 and id(self.boxes[u]) not in out:
+                top = self.boxes[u].tag in ("html", "body")
+                if bad[u] > linky(i) or top and apart[u]:
+                    break
+                out.add(id(self.boxes[u]))
+                i = u
+        return out
+
+    def text(self, path: str | None, others: Sequence[str] = ()) -> str:
         """Blocks under the containers on ``path``, or under the page's own best container."""
+        scores = self.scores()
+        best = self.boxes[max(scores, key=lambda i: (scores[i], -i))] if scores else None
         chosen = {id(b) for b in self.boxes if b.path == path} if path is not None else set()
+        if chosen and best is not None and best.path in others:
+            held = max((x for i, x in scores.items() if self.boxes[i].path == path), default=0.0)
+            if held < MINOR * max(scores.values()):
+                chosen = {id(b) for b in self.boxes if b.path == best.path}
         if not chosen:
-            scores = self.scores()
-            if not scores:
+            if best is None:
                 return ""
-            chosen = {id(self.boxes[max(scores, key=lambda i: (scores[i], -i))])}
+            chosen = {id(best)}
+        chosen = self.whole(chosen)
         under: dict[int, bool] = {}
 
         def within(box: Node) -> bool:
@@ -260,16 +299,23 @@ def _host_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [Page(html.as_py() or "").text(path.as_py()) for html, path in zip(b.column("html"), b.column("path"), strict=True)]
+        texts = [Page(html.as_py() or "").text(path.as_py(), others.as_py() or ()) for html, path, others in zip(b.column("html"), b.column("path"), b.column("others"), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path with the most votes of each host; equal votes go to the shorter, then smaller path."""
+    """(host, path, others): the path with the most votes of each host, and the paths of its further templates.
+
+    Equal votes go to the shorter, then smaller path.
+    """
     votes = pick(pages, "url", "html").mapInArrow(lean(_vote_rows), "host string, path string, share long")
-    summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"))
+    summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"), F.count("*").alias("seen"), F.count_if(F.col("share") == 1_000_000).alias("best"))
+    summed = written(summed, "html-votes")
     rank = F.struct(F.col("share"), -F.length("path"), F.col("path"))
-    return summed.groupBy("host").agg(F.max_by("path", rank).alias("path"))
+    hosts = summed.groupBy("host").agg(F.max_by("path", rank).alias("path"), F.sum("best").alias("pages"))
+    strong = summed.where("best >= 2 and 2 * best >= seen").select("host", F.col("path").alias("other"), "best")
+    others = strong.join(hosts, "host").where("other <> path and 100 * best >= pages").groupBy("host").agg(F.sort_array(F.collect_list("other")).alias("others"))
+    return hosts.join(others, "host", "left").select("host", "path", "others")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -278,5 +324,5 @@ def extract(pages: DataFrame) -> DataFrame:
     p = pick(pages, "page_id", "url", "html")
     types = {f.name: f.dataType.simpleString() for f in p.schema.fields}
     hosts = p.mapInArrow(lean(_host_column), f"page_id {types['page_id']}, url string, html string, host string")
-    joined = hosts.join(winning_paths(pages), "host", "left").select("page_id", "url", "html", "path")
+    joined = hosts.join(winning_paths(pages), "host", "left").select("page_id", "url", "html", "path", "others")
     return joined.mapInArrow(lean(_text_rows), f"page_id {types['page_id']}, url string, text string")

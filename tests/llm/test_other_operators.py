@@ -264,3 +264,30 @@ def test_pipeline_near_copies_row_by_row(spark, docs_of):
     assert count((5, a)) == count((9, b)) == count((20, e)) == 1 and count((None, near(a)), (None, near(b)), (30, near(e))) == 0
     assert count((None, c), (None, near(c))) == count((None, d)) == count((30, f), (30, f.upper())) == 1
     assert len(found) == 9 and count((40, "")) == 2 and count((None, None)) == 1
+
+
+# --- HTML: articles in several containers, hosts with two templates ---------------------------
+
+
+def test_html_split_articles():
+    best = lambda page: max(page.votes(), key=page.votes().get)
+    body = "<div class=body><p>" + "b" * 2000 + "</p></div>"
+    page = html_extract.Page(f"<body><article><h1>T</h1><div class=lead>{'a' * 300}</div>{body}</article><div class=rest>other</div>")
+    assert best(page).endswith("div.body") and page.text(best(page)) == "\n".join(["T", "a" * 300, "b" * 2000])
+    parts = "".join(f"<section class={k}><p>{k * n}</p></section>" for k, n in (("intro", 20), ("background", 90), ("conclusion", 30)))
+    whole = "\n".join(["intro" * 20, "background" * 90, "conclusion" * 30])
+    for html in (f"<body>{parts}", f"<body><div id=x>{parts}</div><div class=rest>other</div>"):
+        page = html_extract.Page(html)
+        assert page.text(best(page)) == whole
+    links = "<div class=list><a href=x>" + "one more page " * 9 + "</a></div>"
+    page = html_extract.Page(f"<body><div id=x>{body}{links}</div>")
+    assert page.text(best(page)) == "b" * 2000
+
+
+def test_html_two_templates(spark):
+    """Pages of the smaller template hold the winning path in a minor place only."""
+    first, second = "<div class='main'><p>{}</p></div>", "<div class='story'><p>{}</p></div><div class='main'><p>tiny</p></div>"
+    rows = [(i, f"http://h.example/{i}", (first if i < 6 else second).format(f"text {i} " * 50)) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    assert found == {i: (f"text {i} " * 50).strip() for i in range(9)}
