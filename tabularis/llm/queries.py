@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, minhash, pii, quality, suffix_dedup
+from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, merkle, minhash, oracles, pii, quality, suffix_dedup
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(merkle.manifest(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_merkle": oracles.MERKLE_SQL}
