@@ -44,3 +44,46 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, l
        folded_root, folded_root = root AS verified
 FROM folds
 """
+
+NEGATIVES_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM whole a JOIN whole r ON a.id % 50 = 0 AND a.id <> r.id),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+inside AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM inside WHERE rank <= 3
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM cut),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * b.n >= 90 * a.n AND 100 * a.n >= 90 * b.n
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (min(a.n) + min(b.n) - count(*))),
+reach(x, y) AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(low.y, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN low ON low.x = s.doc_id
+"""

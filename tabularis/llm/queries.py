@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularis.llm import bpe, decontam, fingerprint, html_extract, licenses, line_dedup, merkle, minhash, oracles, pii, quality, suffix_dedup
+from tabularis.llm import bpe, decontam, fingerprint, html_extract, jaccard, licenses, line_dedup, merkle, minhash, negatives, oracles, pii, quality, suffix_dedup
 from tabularis.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -67,6 +67,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(merkle.manifest(read_table(spark, sf_dir, "documents")))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.whole_vectors(rows.withColumn("label", wrong)), F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
@@ -79,6 +89,12 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_jaccard": op12_jaccard,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE: dict[str, str] = {"op11_merkle": oracles.MERKLE_SQL}
+ORACLE: dict[str, str] = {
+    "op11_merkle": oracles.MERKLE_SQL,
+    "op12_jaccard": oracles.JACCARD_SQL,
+    "op13_hard_negatives": oracles.NEGATIVES_SQL,
+}
