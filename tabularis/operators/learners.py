@@ -4,8 +4,7 @@ Parameter mapping to the studied library calls:
 * ridge α  -> ``LinearRegression(regParam = α·σ_y/n, elasticNetParam=0, standardization=False)``
   with σ_y the population std of the label (Spark scales the L2 term by σ_y/n);
 * logistic C -> ``LogisticRegression(regParam = 1/(C·n), elasticNetParam=0, standardization=False)``;
-* unlimited tree depth -> 30 (the largest depth Spark accepts);
-* multiclass boosting -> ``OneVsRest(GBTClassifier)``; RBF SVM -> random Fourier features + ``LinearSVC``.
+* trees, forests and boosting -> ``operators.trees`` and ``operators.boosting``; RBF SVM -> ``operators.kernel_svm``.
 Metrics come from ``tabularis.operators.metrics`` (aggregate queries, not driver loops).
 """
 
@@ -18,9 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -29,8 +26,6 @@ from pyspark.sql import functions as F
 
 from tabularis.operators import metrics as M
 
-MAX_DEPTH = 30
-
 
 def features_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (), out: str = "features") -> list:
     """StringIndexer (alphabetical, unknown kept) + OneHotEncoder (unknown -> zeros) + assembler."""
@@ -48,10 +43,11 @@ def ridge_reg_param(alpha: float, n: int, sigma_y: float) -> float:
     return alpha * sigma_y / n if n and sigma_y else alpha
 
 
-def timed_fit(est, df: DataFrame):
+def timed(run):
+    """The result of ``run`` and the seconds it took (M17); ``run`` must do its work, not only plan it."""
     t = time.time()
-    m = est.fit(df)
-    return m, time.time() - t
+    out = run()
+    return out, time.time() - t
 
 
 def positive_probability(df: DataFrame, col: str = "probability") -> Column:
@@ -123,16 +119,6 @@ def permuted_frames(df: DataFrame, key: str, cols: Sequence[str], repeats: int,
     return long.select("feature", "rep", *swapped)
 
 
-def multiclass_learners(rows: int, classes: int) -> dict:
-    """L4 / L6 / L7 for several classes: (name, estimator) grid; C maps to 1 / (C · rows)."""
-    out = {f"logistic_C{c}": LogisticRegression(maxIter=500, regParam=1.0 / (c * rows), family="multinomial", standardization=False) for c in (0.1, 1.0, 10.0)}
-    for leaf in (1, 2):
-        out[f"forest_l{leaf}"] = RandomForestClassifier(numTrees=400, maxDepth=15, minInstancesPerNode=leaf, seed=42)
-    out["tree_d8"] = DecisionTreeClassifier(maxDepth=8, seed=42)
-    return out
-
-
-def boosting_by_class(rounds: int = 20) -> OneVsRest:
-    """L7 multiclass: one boosted ensemble per class."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=4, seed=42), parallelism=4)
-
+def logistic_learners(rows: int) -> dict:
+    """L4 for several classes: C maps to 1 / (C · rows)."""
+    return {f"logistic_C{c}": LogisticRegression(maxIter=500, regParam=1.0 / (c * rows), family="multinomial", standardization=False) for c in (0.1, 1.0, 10.0)}

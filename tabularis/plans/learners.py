@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularis.functions.columns import sensor_features
+from tabularis.operators import boosting as B
 from tabularis.operators import encoders as E
 from tabularis.operators import learners as L
 from tabularis.operators import metrics as M
 from tabularis.operators import oversample as O
 from tabularis.operators import splits as X
 from tabularis.operators import timeseries as ts
+from tabularis.operators import trees as T
 from tabularis.plans.common import round_cols, view
 from tabularis.plans.oracle_views import with_views
 from tabularis.plans.prep import _fit_loans
@@ -32,8 +35,65 @@ SALES_FEATS = ["store", "year", "month", "quarter", "week_of_year", "week_sin",
                "lag_1", "lag_2", "lag_4", "lag_13", "lag_52", "rolling_mean_4", "rolling_std_4", "rolling_mean_13", "rolling_std_13"]
 
 
-def _spark(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+#: (trees, rules, bootstrap rows?) of a forest
+ForestSetting = tuple[int, T.Rules, bool]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _indicators(train: DataFrame, frames: dict[str, DataFrame], categorical: list[str]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The frames with an indicator column for every category of the training frame, and the columns' names."""
+    names = []
+    for c in categorical:
+        values = E.fit_categories(train, c)
+        frames = {n: E.one_hot(f, c, values) for n, f in frames.items()}
+        names += [f"{c}_{E.safe_col_name(v)}" for v in values]
+    return frames, names
+
+
+def _sqrt(features: list) -> int:
+    return max(1, math.isqrt(len(features)))
+
+
+def _tree_scores(
+    parts: dict[str, DataFrame], features: list[str], label: str, forests: dict[str, ForestSetting], boosts: dict[str, B.Boost] | None = None, weight: str | None = None
+) -> tuple[DataFrame, dict[str, tuple[float, float]], dict]:
+    """(model, part, row, label, scores) of every setting fitted on the part ``train``, seconds of fit and prediction, models.
+
+    ``rid`` numbers the rows of each part.
+    """
+    data = {"train": T.binned(parts["train"], features, label, weight, row="rid")}
+    data |= {n: T.binned(d, features, label, None, data["train"].edges, "rid") for n, d in parts.items() if n != "train"}
+    models, seconds, found = {}, {}, []
+    for name, (trees, rules, draw) in forests.items():
+        models[name], fit = L.timed(lambda: T.fit_forest(data["train"], trees, rules, draw))
+        seconds[name] = (fit, 0.0)
+    if boosts:
+        many, fit = L.timed(lambda: B.fit_boosting(data["train"], boosts))
+        models |= many
+        seconds |= {n: (fit / len(boosts), 0.0) for n in boosts}  # the settings are fitted side by side
+    for name, model in models.items():
+        scored = [(B if name in (boosts or {}) else T).predict(model, d).select(F.lit(name).alias("model"), F.lit(n).alias("part"), "row", "label", "scores") for n, d in data.items() if n in parts]
+        written, took = L.timed(lambda: cut_lineage(_union(scored)))
+        seconds[name] = (seconds[name][0], took)
+        found.append(written)
+    return _union(found), seconds, models
+
+
+def _with_seconds(metrics: DataFrame, seconds: dict[str, tuple[float, float]]) -> DataFrame:
+    """fit_seconds and predict_seconds of each model, as measured by this run."""
+    times = metrics.sparkSession.createDataFrame([(n, a, b) for n, (a, b) in seconds.items()], "model string, fit_seconds double, predict_seconds double")
+    return metrics.join(F.broadcast(times), "model", "left")
+
+
+def _first_of_best(c: str = "scores"):
+    """Index of the largest score."""
+    return (F.array_position(c, F.array_max(c)) - 1).cast("double")
 
 
 # ---------------------------------------------------------------- regression (T1) --------
@@ -72,7 +132,8 @@ def ols_quadratic(spark, sf_dir):
 
 # ---------------------------------------------------------------- sales (T7) -------------
 def _sales_frames(spark, sf_dir):
-    f = cut_lineage(ts.holdout_last_dates(featured_sales(spark, sf_dir), "week", 20))
+    f = ts.holdout_last_dates(featured_sales(spark, sf_dir), "week", 20)
+    f = cut_lineage(f.withColumn("rid", F.xxhash64("store", "week")))
     return f.filter(F.col("is_test") == 0), f.filter(F.col("is_test") == 1)
 
 
@@ -86,19 +147,30 @@ def _ridge(train: DataFrame, alpha: float):
     return Pipeline(stages=stages).fit(train)
 
 
-def _tree_model(est):
-    """A tree ensemble on one-hot store and unscaled numbers."""
-    numeric = [c for c in SALES_FEATS if c != "store"]
-    return lambda train: Pipeline(stages=[*L.features_pipeline(numeric, ["store"]), est]).fit(train)
+SALES_RIDGE = (1.0, 10.0, 100.0)
+SALES_FORESTS = {f"forest_d{d or 'none'}": (120, T.Rules(depth=d, min_rows=2), True) for d in (12, None)}
+SALES_BOOSTS = {
+    f"boosting_n{n}_d{d}": B.Boost(rounds=n, depth=d, rate=0.05, rows=0.9, columns=0.9) for n in (300, 500) for d in (3, 6)
+}
 
 
-def _sales_grid() -> dict:
-    """Every parameter setting of the sales task, name -> fit(train)."""
-    out = {f"ridge_a{a:g}": lambda train, a=a: _ridge(train, a) for a in (1.0, 10.0, 100.0)}
-    for depth in (12, L.MAX_DEPTH):
-        out[f"forest_d{depth}"] = _tree_model(RandomForestRegressor(labelCol="weekly_sales", numTrees=120, maxDepth=depth, minInstancesPerNode=2, seed=42))
-    out["boosting"] = _tree_model(GBTRegressor(labelCol="weekly_sales", maxIter=150, maxDepth=4, stepSize=0.05, subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42))
-    return out
+def _sales_predictions(parts: dict[str, DataFrame], trees: bool = True) -> tuple[DataFrame, dict]:
+    """(model, part, row, label, prediction) of every setting of the sales task, fitted on ``train``; floored at 0."""
+    found, seconds = [], {}
+    for alpha in SALES_RIDGE:
+        name = f"ridge_a{alpha:g}"
+        model, fit = L.timed(lambda: _ridge(parts["train"], alpha))
+        scored = _union([model.transform(d).select(F.lit(name).alias("model"), F.lit(n).alias("part"), F.col("rid").alias("row"), F.col("weekly_sales").alias("label"), "prediction") for n, d in parts.items()])
+        written, took = L.timed(lambda: cut_lineage(scored))
+        found.append(written)
+        seconds[name] = (fit, took)
+    if trees:
+        hot, names = _indicators(parts["train"], parts, ["store"])
+        numeric = [c for c in SALES_FEATS if c != "store"]
+        scored, more, _ = _tree_scores(hot, numeric + names, "weekly_sales", SALES_FORESTS, SALES_BOOSTS)
+        found.append(scored.withColumn("prediction", F.col("scores")[0]).drop("scores"))
+        seconds |= more
+    return _floored(_union(found)), seconds
 
 
 def _floored(df: DataFrame) -> DataFrame:
@@ -116,47 +188,36 @@ def ridge(spark, sf_dir):
 
 
 def sales_models(spark, sf_dir):
-    """Ridge, forest and boosting settings on the training weeks, scored on the last 20 weeks."""
+    """Ridge, forest (one without a depth limit) and boosting settings, scored on the last 20 weeks."""
     train, test = _sales_frames(spark, sf_dir)
-    scored = None
-    for name, fit in _sales_grid().items():
-        p = _floored(fit(train).transform(test)).select(F.lit(name).alias("model"), "weekly_sales", "prediction")
-        scored = p if scored is None else scored.unionByName(p)
-    return round_cols(M.regression_metrics(scored, "weekly_sales", "prediction", by="model"), 4)
+    found, seconds = _sales_predictions({"train": train, "test": test})
+    scores = M.regression_metrics(found.where("part = 'test'"), "label", "prediction", by="model")
+    return round_cols(_with_seconds(scores, seconds), 4)
 
 
-def _date_grid(spark, sf_dir, grid: dict) -> DataFrame:
+def _date_grid(spark, sf_dir, trees: bool) -> DataFrame:
     """Mean/std validation RMSE, mean train RMSE and rank of every setting over 3 expanding date folds."""
-    from pyspark.sql import Window
-
     train, _ = _sales_frames(spark, sf_dir)
     folds = cut_lineage(ts.expanding_date_folds(train.drop("is_test"), "week", 3))
     part = lambda k, role: folds.filter((F.col("fold") == k) & (F.col("role") == role)).drop("fold", "role")
-
-    def scored(job):
-        name, fit, k = job
-        model = fit(part(k, "train"))
-        both = [_floored(model.transform(part(k, r))).select(F.lit(name).alias("model"), F.lit(k).alias("fold"), F.lit(r).alias("role"), "weekly_sales", "prediction") for r in ("train", "validate")]
-        return M.regression_metrics(both[0].unionByName(both[1]), "weekly_sales", "prediction", by=["model", "fold", "role"]).select("model", "fold", "role", "rmse").collect()
-
-    rows = [tuple(r) for part_rows in L.grid_search(scored, [(n, f, k) for n, f in grid.items() for k in range(3)]) for r in part_rows]
-    df = spark.createDataFrame(rows, "model string, fold int, role string, rmse double")  # settings × folds × roles
+    found = [_sales_predictions({r: part(k, r) for r in ("train", "validate")}, trees)[0].withColumn("fold", F.lit(k)) for k in range(3)]
+    df = M.regression_metrics(_union(found), "label", "prediction", by=["model", "fold", "part"])
     out = df.groupBy("model").agg(
-        F.avg(F.when(F.col("role") == "validate", F.col("rmse"))).alias("mean_test_rmse"),
-        F.stddev_pop(F.when(F.col("role") == "validate", F.col("rmse"))).alias("std_test_rmse"),
-        F.avg(F.when(F.col("role") == "train", F.col("rmse"))).alias("mean_train_rmse"),
+        F.avg(F.when(F.col("part") == "validate", F.col("rmse"))).alias("mean_test_rmse"),
+        F.stddev_pop(F.when(F.col("part") == "validate", F.col("rmse"))).alias("std_test_rmse"),
+        F.avg(F.when(F.col("part") == "train", F.col("rmse"))).alias("mean_train_rmse"),
     )
-    return round_cols(out.withColumn("rank", F.rank().over(Window.orderBy("mean_test_rmse"))), 4)
+    return round_cols(out.withColumn("rank", F.rank().over(Window.orderBy("mean_test_rmse"))), 4)  # a row a setting
 
 
 def grid_cv_timeseries(spark, sf_dir):
     """L13 + W8: ridge α grid over 3 expanding date folds."""
-    return _date_grid(spark, sf_dir, {n: f for n, f in _sales_grid().items() if n.startswith("ridge")})
+    return _date_grid(spark, sf_dir, False)
 
 
 def sales_grid_cv(spark, sf_dir):
     """L13 + W8: every sales setting (ridge, forest, boosting) over 3 expanding date folds."""
-    return _date_grid(spark, sf_dir, _sales_grid())
+    return _date_grid(spark, sf_dir, True)
 
 
 def permutation_importance(spark, sf_dir):
@@ -238,38 +299,41 @@ def smote_models(spark, sf_dir):
     return round_cols(M.class_summary(preds[0].unionByName(preds[1]), "label", "prediction", by="model"), 6)
 
 
+LOAN_TREES = {f"tree_d{d or 'none'}_l{leaf}": (1, T.Rules(depth=d, min_rows=leaf, classes=2), False) for d in (3, 5, 8, None) for leaf in (5, 15)}
+
+
+def _loan_parts(train: DataFrame, test: DataFrame) -> tuple[dict[str, DataFrame], list[str]]:
+    parts, names = _indicators(train, {"train": train, "test": test}, LOAN_CAT)
+    return {n: d.withColumn("rid", F.xxhash64("loan_id")) for n, d in parts.items()}, LOAN_NUM + names
+
+
 def tree(spark, sf_dir):
-    """Decision tree, depth ∈ {3, 5, 8, unlimited→30} × leaf ∈ {5, 15}."""
-    train, test = _loan_frames(spark, sf_dir)
-    preds = None
-    for depth in (3, 5, 8, L.MAX_DEPTH):
-        for leaf in (5, 15):
-            est = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=leaf, seed=42)
-            p = _classify(train, test, est, None, f"tree_d{depth}_l{leaf}")
-            preds = p if preds is None else preds.unionByName(p)
-    return round_cols(M.class_summary(preds, "label", "prediction", by="model"), 6)
+    """Decision tree, depth ∈ {3, 5, 8, unlimited} × leaf ∈ {5, 15}."""
+    parts, features = _loan_parts(*_loan_frames(spark, sf_dir))
+    found, seconds, _ = _tree_scores(parts, features, "label", LOAN_TREES)
+    found = found.where("part = 'test'").withColumn("prediction", _first_of_best())
+    return round_cols(_with_seconds(M.class_summary(found, "label", "prediction", by="model"), seconds), 6)
+
+
+def _best_on_holdout(parts: dict[str, DataFrame], features: list[str], forests: dict, boosts: dict | None, weight: str | None) -> DataFrame:
+    """Macro-F1 and accuracy of every setting on the part ``test``, with the rank that the grid search orders by."""
+    found, seconds, _ = _tree_scores(parts, features, "label", forests, boosts, weight)
+    found = found.where("part = 'test'").withColumn("prediction", _first_of_best())
+    scores = _with_seconds(M.class_summary(found, "label", "prediction", by="model"), seconds)
+    return cut_lineage(scores.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("macro_f1"), F.desc("accuracy"), "model"))))  # a row a setting
 
 
 def grid_holdout(spark, sf_dir):
     """Tree grid chosen on a stratified 25 % validation part of train (macro-F1, then
     accuracy), refit on all train, test used once."""
     train, test = _loan_frames(spark, sf_dir)
-    parts = cut_lineage(X.stratified_split(train, "loan_id", "label", 0.25, 43, "_s"))
-    fit, val = parts.filter(F.col("_s") == "train"), parts.filter(F.col("_s") == "test")
-    grid = [{"depth": d, "leaf": l} for d in (3, 5, 8, L.MAX_DEPTH) for l in (5, 15)]
-
-    def fit_eval(g):
-        est = DecisionTreeClassifier(maxDepth=g["depth"], minInstancesPerNode=g["leaf"], seed=42)
-        p = _classify(fit, val, est, None, "v")
-        r = M.class_summary(p, "label", "prediction").first()
-        return {**g, "macro_f1": r["macro_f1"], "accuracy": r["accuracy"]}
-
-    res = L.grid_search(fit_eval, grid)
-    best = sorted(res, key=lambda r: (-r["macro_f1"], -r["accuracy"], r["depth"], r["leaf"]))[0]
-    est = DecisionTreeClassifier(maxDepth=best["depth"], minInstancesPerNode=best["leaf"], seed=42)
-    p = _classify(train, test, est, None, "best")
-    s = M.class_summary(p, "label", "prediction")
-    return round_cols(s.select(F.lit(best["depth"]).alias("depth"), F.lit(best["leaf"]).alias("leaf"),
+    halves = cut_lineage(X.stratified_split(train, "loan_id", "label", 0.25, 43, "_s"))
+    fit, val = halves.filter(F.col("_s") == "train"), halves.filter(F.col("_s") == "test")
+    best = _best_on_holdout(*_loan_parts(fit, val), LOAN_TREES, None, None).where("rank = 1").first()
+    rules = LOAN_TREES[best["model"]][1]
+    found, _, _ = _tree_scores(*_loan_parts(train, test), "label", {best["model"]: LOAN_TREES[best["model"]]})
+    s = M.class_summary(found.where("part = 'test'").withColumn("prediction", _first_of_best()), "label", "prediction")
+    return round_cols(s.select(F.lit(rules.depth).cast("int").alias("depth"), F.lit(int(rules.min_rows)).alias("leaf"),
                                F.lit(best["macro_f1"]).alias("val_macro_f1"), "*"), 6)
 
 
@@ -285,12 +349,8 @@ def _ops_frames(spark, sf_dir):
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "validation"), s.filter(F.col("split") == "test")
 
 
-def _alarm(spark, sf_dir, est, name: str):
-    train, val, test = _ops_frames(spark, sf_dir)
-    model = Pipeline(stages=L.features_pipeline(OPS_NUM, ["product_type"]) + [est.setWeightCol("w")]).fit(train)
-    prob = L.positive_probability(None)
-    v = model.transform(val).select(F.lit(name).alias("model"), "label", prob.alias("score"))
-    t = model.transform(test).select(F.lit(name).alias("model"), "label", prob.alias("score"))
+def _alarm_scores(v: DataFrame, t: DataFrame) -> DataFrame:
+    """Threshold chosen on validation (recall >= 0.5, least false discovery), test metrics at it. Frames: (model, label, score)."""
     chosen = M.select_threshold(M.threshold_sweep(v, "label", "score", by="model"), 0.5, by="model")
     thr = M.feasible(chosen.first())
     op = M.operating_point(t, "label", "score", thr, by="model")
@@ -300,56 +360,70 @@ def _alarm(spark, sf_dir, est, name: str):
         "model", F.lit(thr).alias("threshold"), "precision", "recall", "fdr", "f1",
         "accuracy", "roc_auc", "average_precision", "alerts",
     )
-    return round_cols(out, 6), model
+    return round_cols(out, 6)
+
+
+def _ops_parts(train: DataFrame, others: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[str]]:
+    parts, names = _indicators(train, {"train": train, **others}, ["product_type"])
+    return {n: d.withColumn("rid", F.xxhash64("row_key")) for n, d in parts.items()}, OPS_NUM + names
+
+
+def _alarm_trees(spark, sf_dir, forests: dict, boosts: dict | None = None):
+    train, val, test = _ops_frames(spark, sf_dir)
+    parts, features = _ops_parts(train, {"validation": val, "test": test})
+    found, _, models = _tree_scores(parts, features, "label", forests, boosts, "w")
+    score = F.col("scores")[0] if boosts else F.col("scores")[1]
+    held = lambda part: found.where(F.col("part") == part).select("model", "label", score.alias("score"))
+    return _alarm_scores(held("validation"), held("test")), models, features
+
+
+def _alarm_forest(trees: int, features: int = len(OPS_NUM) + 3) -> ForestSetting:
+    return trees, T.Rules(depth=10, min_rows=2, columns=math.isqrt(features), classes=2), True
 
 
 def forest(spark, sf_dir):
     """L6 + M12-M14: weighted random forest (350 trees, depth 10, leaf 2), threshold chosen on
     validation (recall >= 0.5, min FDR), test metrics at that threshold."""
-    est = RandomForestClassifier(numTrees=350, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42)
-    return _alarm(spark, sf_dir, est, "random_forest")[0]
+    return _alarm_trees(spark, sf_dir, {"random_forest": _alarm_forest(350)})[0]
 
 
 def boosting(spark, sf_dir):
-    """Weighted gradient-boosted trees (350 rounds at step 0.04, depth 4, rows/columns 0.85)."""
-    est = GBTClassifier(maxIter=350, maxDepth=4, stepSize=0.04, subsamplingRate=0.85, featureSubsetStrategy="0.85", seed=42)
-    return _alarm(spark, sf_dir, est, "boosting")[0]
+    """Weighted boosting (350 rounds at rate 0.04, depth 4, rows and columns 0.85, λ 2, minimum child weight 3)."""
+    b = B.Boost("logistic", rounds=350, depth=4, rate=0.04, rows=0.85, columns=0.85, shrink=2.0, min_weight=3.0)
+    return _alarm_trees(spark, sf_dir, {}, {"boosting": b})[0]
 
 
 def logistic_alarm(spark, sf_dir):
     """L4 on the alarm task (positive weight neg/pos)."""
-    est = LogisticRegression(maxIter=2000, regParam=0.0, standardization=True)
-    return _alarm(spark, sf_dir, est, "logistic")[0]
+    train, val, test = _ops_frames(spark, sf_dir)
+    est = LogisticRegression(maxIter=2000, regParam=0.0, standardization=True, weightCol="w")
+    model = Pipeline(stages=[*L.features_pipeline(OPS_NUM, ["product_type"]), est]).fit(train)
+    held = lambda d: cut_lineage(model.transform(d).select(F.lit("logistic").alias("model"), "label", L.positive_probability(None).alias("score")))
+    return _alarm_scores(held(val), held(test))
 
 
 def tree_importance(spark, sf_dir):
-    """Impurity importance of the alarm forest, mapped back to feature names, sorted."""
-    est = RandomForestClassifier(numTrees=350, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42)
-    _, model = _alarm(spark, sf_dir, est, "random_forest")
-    rf = model.stages[-1]
-    names = OPS_NUM + [f"product_type={v}" for v in model.stages[0].labels]
-    imp = rf.featureImportances.toArray().tolist()
-    rows = sorted(zip(names, imp), key=lambda r: (-r[1], r[0]))
+    """Impurity importance of the alarm forest by feature, sorted."""
+    train, _, _ = _ops_frames(spark, sf_dir)
+    parts, features = _ops_parts(train, {})
+    model = T.fit_forest(T.binned(parts["train"], features, "label", "w", row="rid"), *_alarm_forest(350))
+    rows = sorted(zip(features, T.importances(model), strict=True), key=lambda r: (-r[1], r[0]))
     return round_cols(spark.createDataFrame(rows, "feature string, importance double"), 6)
 
 
 def multilabel_diagnosis(spark, sf_dir):
     """Five binary forests (300 trees, depth 10, leaf 2, weight neg/max(pos,1)), cut 0.5."""
     train, _, test = _ops_frames(spark, sf_dir)
-    out = None
+    parts, features = _ops_parts(train, {"test": test})
+    flags = train.select(*[(F.count_if(F.col(f) == 0) / F.greatest(F.count_if(F.col(f) == 1), F.lit(1))).alias(f) for f in FLAGS]).first()
+    found = []
     for flag in FLAGS:
-        pw = train.select(F.count_if(F.col(flag) == 0) / F.greatest(F.count_if(F.col(flag) == 1), F.lit(1))).first()[0]
-        tr = train.withColumn("fw", F.when(F.col(flag) == 1, F.lit(pw)).otherwise(F.lit(1.0))).withColumn("y", F.col(flag).cast("double"))
-        est = RandomForestClassifier(numTrees=300, maxDepth=10, minInstancesPerNode=2, labelCol="y", weightCol="fw", seed=42)
-        model = Pipeline(stages=L.features_pipeline(OPS_NUM, ["product_type"]) + [est]).fit(tr)
-        p = model.transform(test.withColumn("y", F.col(flag).cast("double"))).select(
-            F.lit(flag).alias("failure_type"), F.col("y").alias("label"), L.positive_probability(None).alias("score")
-        )
-        p = cut_lineage(p)
-        op = M.operating_point(p, "label", "score", 0.5, by="failure_type").select("failure_type", "precision", "recall", "f1", "tp", "P")
-        op = op.join(M.average_precision(p, "label", "score", by="failure_type"), "failure_type", "left").withColumn("support", F.col("P"))
-        out = op if out is None else out.unionByName(op)
-    return round_cols(out, 6)
+        own = {n: d.withColumn("fw", F.when(F.col(flag) == 1, F.lit(flags[flag])).otherwise(F.lit(1.0))) for n, d in parts.items()}
+        scored, _, _ = _tree_scores(own, features, flag, {flag: _alarm_forest(300)}, None, "fw")
+        found.append(scored.where("part = 'test'").select(F.col("model").alias("failure_type"), "label", F.col("scores")[1].alias("score")))
+    p = _union(found)
+    op = M.operating_point(p, "label", "score", 0.5, by="failure_type").select("failure_type", "precision", "recall", "f1", "tp", "P")
+    return round_cols(op.join(M.average_precision(p, "label", "score", by="failure_type"), "failure_type", "left").withColumn("support", F.col("P")), 6)
 
 
 # ---------------------------------------------------------------- tracks (T6) ------------
@@ -364,20 +438,66 @@ def _track_frames(spark, sf_dir):
     return z.filter(F.col("split") == "train"), z.filter(F.col("split") == "test")
 
 
+TRACK_CLASSES = 10
+TRACK_FORESTS = {
+    f"forest_d{d or 'none'}_l{leaf}": (400, T.Rules(depth=d, min_rows=leaf, columns=_sqrt(TRACK_COLS), classes=TRACK_CLASSES), True)
+    for d in (None, 15) for leaf in (1, 2)
+}
+
+
+def _balanced(train: DataFrame) -> DataFrame:
+    return X.with_weight(train, "label", X.class_weights(train, "label"), "w")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("rid", F.col("vec_id"))
+
+
 def tracks_models(spark, sf_dir):
-    """L4 + L6 for 10 classes: multinomial logistic, forests and a tree; accuracy and macro-F1 on the test part."""
+    """L4 + L6 + M17 for 10 classes: multinomial logistic, balanced forests (also without a depth limit) and a tree;
+    accuracy and macro-F1 on the test part."""
     train, test = _track_frames(spark, sf_dir)
     va = VectorAssembler(inputCols=TRACK_COLS, outputCol="features")
-    train, test = va.transform(train), va.transform(test)
+    seconds, found = {}, []
+    for name, est in L.logistic_learners(train.count()).items():
+        model, fit = L.timed(lambda: est.fit(va.transform(train)))
+        scored, took = L.timed(lambda: cut_lineage(model.transform(va.transform(test)).select(F.lit(name).alias("model"), "label", "prediction")))
+        seconds[name] = (fit, took)
+        found.append(scored)
+    plain = {"tree_d8": (1, T.Rules(depth=8, classes=TRACK_CLASSES), False)}
+    parts = {"train": _numbered(_balanced(train)), "test": _numbered(test)}
+    for settings, weight in ((TRACK_FORESTS, "w"), (plain, None)):
+        scored, more, _ = _tree_scores(parts, TRACK_COLS, "label", settings, None, weight)
+        found.append(scored.where("part = 'test'").select("model", "label", _first_of_best().alias("prediction")))
+        seconds |= more
+    return round_cols(_with_seconds(M.class_summary(_union(found), "label", "prediction", by="model"), seconds), 6)
+
+
+COVER_FORESTS = {
+    f"forest_d{d or 'none'}_l{leaf}": (200, T.Rules(depth=d, min_rows=leaf, columns=_sqrt(TRACK_COLS), classes=TRACK_CLASSES), True)
+    for d in (None, 24) for leaf in (1, 2)
+}
+COVER_BOOSTS = {
+    f"boosting_d{d}_r{rate:g}": B.Boost("softmax", rounds=250, depth=d, rate=rate, rows=0.9, columns=0.8, outputs=TRACK_CLASSES) for d in (6, 10) for rate in (0.08, 0.15)
+}
 
-    def fit(job):
-        return job[1].fit(train).transform(test).select(F.lit(job[0]).alias("model"), "label", "prediction")
 
-    preds = L.grid_search(fit, list(L.multiclass_learners(train.count(), 10).items()), parallel=3)
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    return round_cols(M.class_summary(out, "label", "prediction", by="model"), 6)
+def cover_grid_holdout(spark, sf_dir):
+    """L6 + L7 + L12: forest and softmax boosting grids for many classes on a stratified 25 % validation part of train
+    (macro-F1, then accuracy); the best of each kind is refitted on all train and meets the test part once."""
+    train, test = _track_frames(spark, sf_dir)
+    halves = cut_lineage(X.stratified_split(train.drop("split"), "vec_id", "label", 0.25, 43, "_s"))
+    fit, val = halves.filter(F.col("_s") == "train"), halves.filter(F.col("_s") == "test")
+    grids = []
+    for forests, boosts, weight in ((COVER_FORESTS, None, "w"), ({}, COVER_BOOSTS, None)):
+        grid = _best_on_holdout({"train": _numbered(_balanced(fit)), "test": _numbered(val)}, TRACK_COLS, forests, boosts, weight)
+        best = grid.where("rank = 1").first()["model"]
+        again = {"train": _numbered(_balanced(train)), "test": _numbered(test)}
+        found, _, _ = _tree_scores(again, TRACK_COLS, "label", {n: f for n, f in forests.items() if n == best}, {n: b for n, b in (boosts or {}).items() if n == best}, weight)
+        final = M.class_summary(found.where("part = 'test'").withColumn("prediction", _first_of_best()), "label", "prediction", by="model")
+        final = final.select("model", F.col("accuracy").alias("test_accuracy"), F.col("balanced_accuracy").alias("test_balanced_accuracy"), F.col("macro_f1").alias("test_macro_f1"))
+        grids.append(grid.join(final, "model", "left"))
+    return round_cols(_union(grids), 6)
 
 
 def tracks_grid_cv(spark, sf_dir):
@@ -385,7 +505,7 @@ def tracks_grid_cv(spark, sf_dir):
     train, _ = _track_frames(spark, sf_dir)
     folds = X.stratified_folds(train, "vec_id", "label", 5)
     folds = cut_lineage(VectorAssembler(inputCols=TRACK_COLS, outputCol="features").transform(folds).select("fold", "label", "features"))
-    grid = {n: e for n, e in L.multiclass_learners(train.count() * 4 // 5, 10).items() if n.startswith("logistic")}
+    grid = {n: e for n, e in L.logistic_learners(train.count() * 4 // 5).items()}
 
     def fit(job):
         name, est, k = job
@@ -470,6 +590,7 @@ QUERIES = {
     "forecast_by_date": forecast_by_date,
     "tracks_models": tracks_models,
     "tracks_grid_cv": tracks_grid_cv,
+    "cover_grid_holdout": cover_grid_holdout,
     "tracks_pca": tracks_pca,
     "logit": logit,
     "smote_rows": smote_rows,

@@ -65,7 +65,7 @@ def test_schema_selection_folds_and_timing(spark):
     sizes = X.fold_sizes(X.stratified_folds(df, "id", "s", 2), ["s", "fold"]).collect()
     assert sum(r["n"] for r in sizes) == 3
     data = VectorAssembler(inputCols=["id"], outputCol="features").transform(df).withColumnRenamed("mfcc_1", "label")
-    model, seconds = L.timed_fit(LinearRegression(), data)
+    model, seconds = L.timed(lambda: LinearRegression().fit(data))
     assert model.coefficients[0] == pytest.approx(1.0) and seconds > 0
 
 
