@@ -3,7 +3,7 @@
 1. Each page is read once into blocks of text under containers. Every container gets a score: the text of
    its own blocks less twice their link text, plus half of what its child containers hold.
 2. A container votes for its generalised path (tags and class names from the body down, digits
-   replaced), with its score as a share of the page's best; Spark adds the votes by host and path and
+   replaced; what lies above the last step as a hash, so that a path's length does not grow with its depth), with its score as a share of the page's best; Spark adds the votes by host and path and
    takes the winning path of each host.
 3. Each page is read again and gives the blocks under the containers on its host's winning path; a page
    without that path gives those of its own best container. So does a page where that path holds less than ``MINOR``
@@ -11,14 +11,19 @@
    on half of the pages that have it and on a hundredth of the host's pages.
 4. From there a page climbs to the highest container whose other parts are text and not links, so that an
    article in several containers is whole. The climb ends at an article or main and below the body, except
-   for a body that is made of sections.
+   for a body that is made of sections; other containers right under the body join if they are prose too: ``LEAD`` characters
+   and a twentieth of the chosen text at least, a quarter of it links at most.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
 by tag, role, class and id wherever they stand. Character references are decoded, white space inside a block
 becomes one space, blocks are trimmed and joined in page order by a line feed; nothing else is dropped or cut.
 
-Cases: null and empty html gives the empty text; broken markup is closed as it goes; a null url or one
-without a host votes in the host ''; repeated rows each give a row; an empty table gives an empty result.
+The winning paths, one row a host, are broadcast up to ``BROADCAST`` bytes; beyond, pages meet them by host and one of
+``SALTS`` salts, so that a host of most pages is many tasks either way.
+
+Cases: null and empty html gives the empty text; broken markup is closed as it goes; containers may be nested to any depth
+(work and memory follow the length of the page); a null url or one without a host votes in the host ''; repeated rows each
+give a row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,10 +31,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator, Sequence
-from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularis.llm.common import lean, pick, small_batches, written
@@ -61,16 +66,20 @@ NEVER_ASIDE = frozenset("html body article main".split())
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 SCOPE = frozenset("html body div article main section ul ol dl table aside nav header footer form blockquote".split())
 MINOR = 0.25
+LEAD = 100
+BROADCAST, SALTS = 8 << 20, 32
+HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]*)"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "aside", "link", "box", "own")
+    __slots__ = ("tag", "parent", "path", "aside", "link", "box", "depth", "story")
 
     def __init__(self, tag: str, parent: Node | None, path: str, aside: bool, link: bool, box: Node | None):
         self.tag, self.parent, self.path, self.aside, self.link = tag, parent, path, aside, link
         self.box = box if box is not None else self  # nearest container, itself included
-        self.own = 0.0
+        self.depth = 0 if parent is None else parent.box.depth + (box is None)
+        self.story = tag in ("article", "main") or parent is not None and parent.story  # within an article or main
 
 
 def _names(attributes: str) -> tuple[str, str, bool]:
@@ -163,25 +172,17 @@ class Page:
         up = self._top
         classes, ident, aside = _names(attributes) if attributes.strip() else ("", "", False)
         if tag not in NEVER_ASIDE:
-            inside = tag == "header" and self._inside_article(up)
+            inside = tag == "header" and up.story
             aside = aside or tag in ASIDE_TAGS and not inside or bool(classes or ident) and _set_aside(f"{classes} {ident}")
         else:
             aside = False
         is_box = tag in CONTAINERS
-        path = f"{up.box.path}/{_general(tag, classes)}" if is_box else up.path
+        path = f"{up.box.depth + 1}:{xxhash.xxh64_hexdigest(up.box.path)}/{_general(tag, classes)}" if is_box else up.path
         node = Node(tag, up, path, up.aside or aside, up.link or tag == "a", None if is_box else up.box)
         if is_box and not node.aside:
             self.boxes.append(node)
         self._top = node
 
-    @staticmethod
-    def _inside_article(node: Node | None) -> bool:
-        while node is not None:
-            if node.tag == "article":
-                return True
-            node = node.parent
-        return False
-
     def _close(self, tag: str) -> None:
         if tag == "br":
             self._text(" ")
@@ -237,14 +238,19 @@ class Page:
                 links[up[i]] += links[i]
                 bad[up[i]] += linky(i)
                 apart[up[i]] += self.boxes[i].tag != "section"
-        out = set(chosen)
+        out, below = set(chosen), {}
         for i in (place[b] for b in chosen):
             while self.boxes[i].tag not in NEVER_ASIDE and (u := up[i]) >= 0 and id(self.boxes[u]) not in out:
                 top = self.boxes[u].tag in ("html", "body")
                 if bad[u] > linky(i) or top and apart[u]:
+                    if top:
+                        below[u] = below.get(u, 0) + size[i]
                     break
                 out.add(id(self.boxes[u]))
                 i = u
+        for i, u in enumerate(up):
+            if u in below and self.boxes[i].tag not in NEVER_ASIDE and size[i] >= max(LEAD, below[u] / 20) and 4 * links[i] <= size[i]:
+                out.add(id(self.boxes[i]))
         return out
 
     def text(self, path: str | None, others: Sequence[str] = ()) -> str:
@@ -262,28 +268,20 @@ class Page:
             chosen = {id(best)}
         chosen = self.whole(chosen)
         under: dict[int, bool] = {}
+        for box in self.boxes:  # containers stand after the ones around them
+            under[id(box)] = id(box) in chosen or box.parent is not None and under.get(id(box.parent.box), False)
+        return "\n".join(text for box, text, _ in self.blocks if under[id(box)])
 
-        def within(box: Node) -> bool:
-            if id(box) not in under:
-                up = box.parent
-                under[id(box)] = id(box) in chosen or up is not None and within(up.box)
-            return under[id(box)]
-
-        return "\n".join(text for box, text, _ in self.blocks if within(box))
 
-
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").removeprefix("www.")
-    except ValueError:
-        return ""
+def host_of(url: str) -> Column:
+    """The host of a url, without www., in lower case; empty if there is none."""
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), HOST, 1))
 
 
 def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         hosts, paths, shares = [], [], []
-        for url, html in zip(b.column("url"), b.column("html"), strict=True):
-            host = host_of(url.as_py())
+        for host, html in zip(b.column("host").to_pylist(), b.column("html"), strict=True):
             for path, share in Page(html.as_py() or "").votes().items():
                 hosts.append(host)
                 paths.append(path)
@@ -291,12 +289,6 @@ def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], names=["host", "path", "share"])
 
 
-def _host_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        hosts = pa.array([host_of(u.as_py()) for u in b.column("url")], pa.string())
-        yield pa.RecordBatch.from_arrays([*b.columns, hosts], names=[*b.schema.names, "host"])
-
-
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [Page(html.as_py() or "").text(path.as_py(), others.as_py() or ()) for html, path, others in zip(b.column("html"), b.column("path"), b.column("others"), strict=True)]
@@ -306,12 +298,12 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def winning_paths(pages: DataFrame) -> DataFrame:
     """(host, path, others): the path with the most votes of each host, and the paths of its further templates.
 
-    Equal votes go to the shorter, then smaller path.
+    Equal votes go to the path nearer to the body, then the smaller one.
     """
-    votes = pick(pages, "url", "html").mapInArrow(lean(_vote_rows), "host string, path string, share long")
+    votes = pick(pages, "url", "html").select(host_of("url").alias("host"), "html").mapInArrow(lean(_vote_rows), "host string, path string, share long")
     summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"), F.count("*").alias("seen"), F.count_if(F.col("share") == 1_000_000).alias("best"))
     summed = written(summed, "html-votes")
-    rank = F.struct(F.col("share"), -F.length("path"), F.col("path"))
+    rank = F.struct(F.col("share"), -F.split("path", ":")[0].cast("int"), F.col("path"))
     hosts = summed.groupBy("host").agg(F.max_by("path", rank).alias("path"), F.sum("best").alias("pages"))
     strong = summed.where("best >= 2 and 2 * best >= seen").select("host", F.col("path").alias("other"), "best")
     others = strong.join(hosts, "host").where("other <> path and 100 * best >= pages").groupBy("host").agg(F.sort_array(F.collect_list("other")).alias("others"))
@@ -323,6 +315,13 @@ def extract(pages: DataFrame) -> DataFrame:
     small_batches(pages.sparkSession)
     p = pick(pages, "page_id", "url", "html")
     types = {f.name: f.dataType.simpleString() for f in p.schema.fields}
-    hosts = p.mapInArrow(lean(_host_column), f"page_id {types['page_id']}, url string, html string, host string")
-    joined = hosts.join(winning_paths(pages), "host", "left").select("page_id", "url", "html", "path", "others")
+    found = written(winning_paths(pages), "html-paths")
+    held = found.agg(F.sum(F.length("host") + F.length("path") + F.coalesce(F.length(F.array_join("others", "")), F.lit(0)))).first()[0] or 0
+    hosts = p.withColumn("host", host_of("url"))
+    if held <= BROADCAST:
+        joined = hosts.join(F.broadcast(found), "host", "left")
+    else:
+        salted = hosts.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)))
+        joined = salted.join(found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["host", "salt"], "left")
+    joined = joined.select("page_id", "url", "html", "path", "others")
     return joined.mapInArrow(lean(_text_rows), f"page_id {types['page_id']}, url string, text string")

@@ -291,3 +291,23 @@ def test_html_two_templates(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
     assert found == {i: (f"text {i} " * 50).strip() for i in range(9)}
+
+
+def test_html_deep_nesting_and_body_parts(spark, monkeypatch):
+    """20,000 nested containers; an article in divs right under the body; a title in main's header; joined by salts too."""
+    deep = "<div class=a>" * 20_000 + "<p>deep text</p>" + "</div>" * 20_000
+    article = "<article><p>" + "word " * 300 + "</p></article>"
+    lead, body = "lead text " * 30, "body text " * 200
+    rows = [
+        (1, "http://deep.example/1", f"<body>{deep}{article}"),
+        (2, "http://lead.example/1", f"<body><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div><div class=rest>other</div>"),
+        (3, "HTTP://user@WWW.main.example:80/1?x", f"<body><main><header><h1>Title</h1><nav>menu</nav></header><p>{body}</p></main>"),
+        (4, None, "<body><p>no host</p>"),
+        (5, "http://deep.example/1", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {1: ("word " * 300).strip(), 2: f"{lead.strip()}\n{body.strip()}", 3: f"Title\n{body.strip()}", 4: "no host", 5: ""}
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()} == want
+    monkeypatch.setattr(html_extract, "BROADCAST", 0)
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()} == want
+    assert pages.select(html_extract.host_of("url").alias("h")).collect()[2]["h"] == "main.example"
