@@ -11,8 +11,9 @@
    on half of the pages that have it and on a hundredth of the host's pages.
 4. From there a page climbs to the highest container whose other parts are text and not links, so that an
    article in several containers is whole. The climb ends at an article or main and below the body, except
-   for a body that is made of sections; other containers right under the body join if they are prose too: ``LEAD`` characters
-   and a twentieth of the chosen text at least, a quarter of it links at most.
+   for a body that is made of sections. Other containers right under the body join if their path is a partner of the winning
+   one, with a twentieth of the best score at least on half of the host's pages, and they are prose here: ``LEAD``
+   characters at least, a quarter of it links at most.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out
 by tag, role, class and id wherever they stand. Character references are decoded, white space inside a block
@@ -68,7 +69,7 @@ SCOPE = frozenset("html body div article main section ul ol dl table aside nav h
 MINOR = 0.25
 LEAD = 100
 BROADCAST, SALTS = 8 << 20, 32
-HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]*)"
+HOST = r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(?i:www\.)?([^/?#:]*)"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -120,7 +121,7 @@ class Page:
         self.blocks: list[tuple[Node, str, int]] = []
         self._parts: list[str] = []
         self._links = 0
-        root = Node("html", None, "", False, False, None)
+        root = Node("html", None, "0:", False, False, None)
         self.boxes.append(root)
         self._top = root
         at = 0
@@ -221,8 +222,8 @@ class Page:
             out[path] = max(out.get(path, 0.0), s / best)
         return out
 
-    def whole(self, chosen: set[int]) -> set[int]:
-        """Adds the containers above ``chosen`` whose other parts are text and not links."""
+    def whole(self, chosen: set[int], partners: Sequence[str] = ()) -> set[int]:
+        """Adds the containers above ``chosen`` whose other parts are text and not links, and partners beside them in the body."""
         place = {id(b): i for i, b in enumerate(self.boxes)}
         up = [place.get(id(b.parent.box), -1) if b.parent is not None else -1 for b in self.boxes]
         size, links = [0] * len(up), [0] * len(up)
@@ -238,22 +239,22 @@ class Page:
                 links[up[i]] += links[i]
                 bad[up[i]] += linky(i)
                 apart[up[i]] += self.boxes[i].tag != "section"
-        out, below = set(chosen), {}
+        out, below = set(chosen), set()
         for i in (place[b] for b in chosen):
             while self.boxes[i].tag not in NEVER_ASIDE and (u := up[i]) >= 0 and id(self.boxes[u]) not in out:
                 top = self.boxes[u].tag in ("html", "body")
                 if bad[u] > linky(i) or top and apart[u]:
                     if top:
-                        below[u] = below.get(u, 0) + size[i]
+                        below.add(u)
                     break
                 out.add(id(self.boxes[u]))
                 i = u
         for i, u in enumerate(up):
-            if u in below and self.boxes[i].tag not in NEVER_ASIDE and size[i] >= max(LEAD, below[u] / 20) and 4 * links[i] <= size[i]:
+            if u in below and self.boxes[i].path in partners and size[i] >= LEAD and 4 * links[i] <= size[i]:
                 out.add(id(self.boxes[i]))
         return out
 
-    def text(self, path: str | None, others: Sequence[str] = ()) -> str:
+    def text(self, path: str | None, others: Sequence[str] = (), partners: Sequence[str] = ()) -> str:
         """Blocks under the containers on ``path``, or under the page's own best container."""
         scores = self.scores()
         best = self.boxes[max(scores, key=lambda i: (scores[i], -i))] if scores else None
@@ -266,7 +267,7 @@ class Page:
             if best is None:
                 return ""
             chosen = {id(best)}
-        chosen = self.whole(chosen)
+        chosen = self.whole(chosen, partners)
         under: dict[int, bool] = {}
         for box in self.boxes:  # containers stand after the ones around them
             under[id(box)] = id(box) in chosen or box.parent is not None and under.get(id(box.parent.box), False)
@@ -291,23 +292,27 @@ def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [Page(html.as_py() or "").text(path.as_py(), others.as_py() or ()) for html, path, others in zip(b.column("html"), b.column("path"), b.column("others"), strict=True)]
+        found = zip(b.column("html"), b.column("path"), b.column("others"), b.column("partners"), strict=True)
+        texts = [Page(html.as_py() or "").text(path.as_py(), others.as_py() or (), partners.as_py() or ()) for html, path, others, partners in found]
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, others): the path with the most votes of each host, and the paths of its further templates.
+    """(host, path, others, partners): the path with the most votes of each host, the paths of its further templates, and
+    those that hold text beside the best container on half of its pages.
 
     Equal votes go to the path nearer to the body, then the smaller one.
     """
     votes = pick(pages, "url", "html").select(host_of("url").alias("host"), "html").mapInArrow(lean(_vote_rows), "host string, path string, share long")
-    summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"), F.count("*").alias("seen"), F.count_if(F.col("share") == 1_000_000).alias("best"))
+    summed = votes.groupBy("host", "path").agg(F.sum("share").alias("share"), F.count("*").alias("seen"), F.count_if(F.col("share") == 1_000_000).alias("best"), F.count_if(F.col("share") >= 50_000).alias("fair"))
     summed = written(summed, "html-votes")
     rank = F.struct(F.col("share"), -F.split("path", ":")[0].cast("int"), F.col("path"))
     hosts = summed.groupBy("host").agg(F.max_by("path", rank).alias("path"), F.sum("best").alias("pages"))
     strong = summed.where("best >= 2 and 2 * best >= seen").select("host", F.col("path").alias("other"), "best")
     others = strong.join(hosts, "host").where("other <> path and 100 * best >= pages").groupBy("host").agg(F.sort_array(F.collect_list("other")).alias("others"))
-    return hosts.join(others, "host", "left").select("host", "path", "others")
+    fair = summed.where("fair > 0").select("host", F.col("path").alias("partner"), "fair").join(hosts, "host")
+    fair = fair.where("partner <> path and 2 * fair >= pages").groupBy("host").agg(F.sort_array(F.collect_list("partner")).alias("partners"))
+    return hosts.join(others, "host", "left").join(fair, "host", "left").select("host", "path", "others", "partners")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -316,12 +321,12 @@ def extract(pages: DataFrame) -> DataFrame:
     p = pick(pages, "page_id", "url", "html")
     types = {f.name: f.dataType.simpleString() for f in p.schema.fields}
     found = written(winning_paths(pages), "html-paths")
-    held = found.agg(F.sum(F.length("host") + F.length("path") + F.coalesce(F.length(F.array_join("others", "")), F.lit(0)))).first()[0] or 0
+    held = found.agg(F.sum(F.length("host") + F.length("path") + sum((F.coalesce(F.length(F.array_join(c, "")), F.lit(0)) for c in ("others", "partners")), F.lit(0)))).first()[0] or 0
     hosts = p.withColumn("host", host_of("url"))
     if held <= BROADCAST:
         joined = hosts.join(F.broadcast(found), "host", "left")
     else:
         salted = hosts.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)))
         joined = salted.join(found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["host", "salt"], "left")
-    joined = joined.select("page_id", "url", "html", "path", "others")
+    joined = joined.select("page_id", "url", "html", "path", "others", "partners")
     return joined.mapInArrow(lean(_text_rows), f"page_id {types['page_id']}, url string, text string")
