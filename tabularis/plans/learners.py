@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tabularis.functions.columns import sensor_features
 from tabularis.operators import boosting as B
 from tabularis.operators import encoders as E
+from tabularis.operators import kernel_svm as K
 from tabularis.operators import learners as L
 from tabularis.operators import metrics as M
 from tabularis.operators import oversample as O
@@ -501,20 +502,31 @@ def cover_grid_holdout(spark, sf_dir):
 
 
 def tracks_grid_cv(spark, sf_dir):
-    """5-fold stratified accuracy of the multinomial logistic settings on the training part."""
+    """5-fold stratified grid of the multinomial logistic and the balanced forest settings on the training part:
+    mean and std of macro-F1 and accuracy, mean training macro-F1, rank by macro-F1."""
     train, _ = _track_frames(spark, sf_dir)
-    folds = X.stratified_folds(train, "vec_id", "label", 5)
-    folds = cut_lineage(VectorAssembler(inputCols=TRACK_COLS, outputCol="features").transform(folds).select("fold", "label", "features"))
-    grid = {n: e for n, e in L.logistic_learners(train.count() * 4 // 5).items()}
+    folds = cut_lineage(X.stratified_folds(train, "vec_id", "label", 5))
+    va = VectorAssembler(inputCols=TRACK_COLS, outputCol="features")
+    n = train.count() * 4 // 5
 
-    def fit(job):
+    def logistic(job):
         name, est, k = job
-        p = est.copy().fit(folds.filter(F.col("fold") != k)).transform(folds.filter(F.col("fold") == k))
-        return name, k, p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-
-    rows = L.grid_search(fit, [(n, e, k) for n, e in grid.items() for k in range(5)])
-    df = spark.createDataFrame(rows, "model string, fold int, accuracy double")
-    return round_cols(df.groupBy("model").agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy")), 6)
+        model = est.copy().fit(va.transform(folds.filter(F.col("fold") != k)))
+        part = F.when(F.col("fold") == k, "test").otherwise("train").alias("part")
+        return cut_lineage(model.transform(va.transform(folds)).select(F.lit(name).alias("model"), F.lit(k).alias("cv"), part, "label", "prediction"))
+
+    found = L.grid_search(logistic, [(name, est, k) for name, est in L.logistic_learners(n).items() for k in range(5)])
+    for k in range(5):
+        parts = {"train": _numbered(_balanced(folds.filter(F.col("fold") != k))), "test": _numbered(folds.filter(F.col("fold") == k))}
+        scored, _, _ = _tree_scores(parts, TRACK_COLS, "label", TRACK_FORESTS, None, "w")
+        found.append(scored.select("model", F.lit(k).alias("cv"), "part", "label", _first_of_best().alias("prediction")))
+    s = M.class_summary(_union(found), "label", "prediction", by=["model", "part", "cv"])
+    of = lambda part, c: F.when(F.col("part") == part, F.col(c))
+    out = s.groupBy("model").agg(
+        *[fn(of("test", c)).alias(f"{kind}_{c}") for c in ("macro_f1", "accuracy") for kind, fn in (("mean", F.avg), ("std", F.stddev_pop))],
+        F.avg(of("train", "macro_f1")).alias("mean_train_macro_f1"),
+    )
+    return round_cols(out.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_macro_f1")))), 6)  # a row a setting
 
 
 def tracks_pca(spark, sf_dir):
@@ -532,7 +544,7 @@ def tracks_pca(spark, sf_dir):
 
 def rbf_svm_rff(spark, sf_dir):
     """RBF-kernel SVM via random Fourier features (gamma = 1/(d·var X)) + one-vs-rest
-    linear SVM; stratified 80/20 split; accuracy and macro-F1 on test."""
+    linear SVM, one gamma and three C; accuracy and macro-F1 on test (``svm_grid_cv`` chooses in folds)."""
     tr = view(spark, sf_dir, "v_tracks")
     cols = [f"f{i}" for i in range(64)]
     s = cut_lineage(X.stratified_split(tr, "vec_id", "label", 0.2))
@@ -555,6 +567,37 @@ def rbf_svm_rff(spark, sf_dir):
     return round_cols(M.class_summary(out, "label", "prediction", by="model"), 6)
 
 
+SVM_COSTS = (1.0, 10.0, 100.0)
+LANDMARKS = 512
+
+
+def svm_grid_cv(spark, sf_dir):
+    """L8 + L13: RBF machines for C ∈ {1, 10, 100} × gamma ∈ {scale, 0.01}: mean and std of macro-F1 and accuracy over 5 stratified
+    folds of the training part, rank by macro-F1, and the scores of the refit on the test part."""
+    train, test = _track_frames(spark, sf_dir)
+    folds = cut_lineage(X.stratified_folds(train, "vec_id", "label", 5))
+    square = sum((F.col(c) * F.col(c) for c in TRACK_COLS[1:]), F.col(TRACK_COLS[0]) * F.col(TRACK_COLS[0])) / len(TRACK_COLS)
+    total = sum((F.col(c) for c in TRACK_COLS[1:]), F.col(TRACK_COLS[0])) / len(TRACK_COLS)
+    spread = train.agg((F.avg(square) - F.pow(F.avg(total), F.lit(2))).alias("v")).first()["v"] or 1.0
+    gammas = {"scale": 1.0 / (len(TRACK_COLS) * spread), "0.01": 0.01}
+    rows = K.pick_landmarks(train, TRACK_COLS, "vec_id", LANDMARKS)
+    maps = [K.Landmarks.fit(rows, g) for g in gammas.values()]
+    held, tested = (K.mapped(d, TRACK_COLS, "vec_id", "label", f, maps) for d, f in ((folds, "fold"), (test, None)))
+    found = []
+    for name, blocks, other in zip(gammas, held, tested, strict=True):
+        weights = K.fit(blocks, 5, TRACK_CLASSES, SVM_COSTS)
+        for part, p in (("validate", K.predict(blocks, weights, TRACK_CLASSES, SVM_COSTS, True)), ("test", K.predict(other, weights, TRACK_CLASSES, SVM_COSTS, False))):
+            found.append(cut_lineage(p.select(F.lit(name).alias("gamma"), "cost", F.lit(part).alias("part"), "fold", "label", "prediction")))
+    by = ["gamma", "cost", "part", "fold"]
+    s = M.class_summary(_union(found), "label", "prediction", by=by)
+    of = lambda part, c: F.when(F.col("part") == part, F.col(c))
+    out = s.groupBy("gamma", "cost").agg(
+        *[fn(of("validate", c)).alias(f"{kind}_{c}") for c in ("macro_f1", "accuracy") for kind, fn in (("mean", F.avg), ("std", F.stddev_pop))],
+        *[F.max(of("test", c)).alias(f"test_{c}") for c in ("macro_f1", "accuracy")],
+    )
+    return round_cols(out.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_macro_f1")))), 6)  # a row a setting
+
+
 _FORECASTS = ", ".join(f"round({c}, 4) AS {n}" for n, c in NAIVE.items())
 _FORECAST_SUMS = ", ".join(f"round(sum(round({c}, 4)), 2) AS {n}" for n, c in NAIVE.items())
 
@@ -600,6 +643,7 @@ QUERIES = {
     "boosting": boosting,
     "logistic_alarm": logistic_alarm,
     "rbf_svm_rff": rbf_svm_rff,
+    "svm_grid_cv": svm_grid_cv,
     "grid_holdout": grid_holdout,
     "grid_cv_timeseries": grid_cv_timeseries,
     "multilabel_diagnosis": multilabel_diagnosis,
