@@ -197,19 +197,32 @@ def test_silhouette_and_dbscan_against_brute_force(spark):
         assert (got == exp).all(), (eps, m)
 
 
-def test_blocked_cosine_topk_equals_dense(spark):
+@pytest.mark.parametrize("heavy, shrink, blocks", [(10**6, 10.0, 3), (10**6, 0.0, None), (9, 10.0, 3), (9, 0.0, 2), (0, 10.0, 3), (14, 0.0, 5)])
+def test_cosine_topk_equals_dense(spark, monkeypatch, heavy, shrink, blocks):
+    """With no, some and only heavy columns; signed values, a row of zeros, a row that shares nothing."""
+    from tabularis.operators import cosine
+
+    monkeypatch.setattr(cosine, "HEAVY", heavy)
+    monkeypatch.setattr(cosine, "BLOCK_ENTRIES", 60)
+    monkeypatch.setattr(cosine, "PAIRS_AT_ONCE", 200)
     rng = np.random.default_rng(4)
-    M_ = (rng.random((30, 12)) < 0.4) * rng.integers(1, 6, (30, 12)).astype(float)
-    rows = [(u, i, float(M_[u, i])) for u in range(30) for i in range(12) if M_[u, i] > 0]
-    df = spark.createDataFrame(rows, "u long, i long, v double")
-    got = R.blocked_cosine_topk(df, "u", "i", "v", 5, shrink=10.0, blocks=3).toPandas()
-    O = (M_ > 0).astype(float)
-    norms = np.sqrt((M_ ** 2).sum(1))
-    sim = (M_ @ M_.T) / np.outer(norms, norms) * (O @ O.T) / (O @ O.T + 10.0)
-    for u in range(30):
-        cand = [(round(sim[u, v], 12), v) for v in range(30) if v != u and (O[u] @ O[v]) > 0]
-        exp = [v for _, v in sorted(cand, key=lambda t: (-t[0], t[1]))[:5]]
-        assert list(got[got.a == u].sort_values("rank")["b"]) == exp
+    held = rng.random((40, 14)) < np.r_[np.full(4, 0.7), np.full(10, 0.15)]
+    M_ = held * np.where(rng.random((40, 14)) < 0.3, -1, 1) * rng.integers(1, 6, (40, 14)).astype(float)
+    rows = [(u, i, float(M_[u, i])) for u in range(40) for i in range(14) if held[u, i]] + [(40, 1, 0.0), (41, 99, 2.0)]
+    full, O = np.zeros((42, 100)), np.zeros((42, 100))
+    for u, i, v in rows:
+        full[u, i], O[u, i] = v, 1
+    got = cosine.cosine_topk(spark.createDataFrame(rows, "u long, i long, v double"), "u", "i", "v", 5, shrink=shrink, blocks=blocks).toPandas()
+    norms = np.sqrt((full**2).sum(1))
+    both = O @ O.T
+    with np.errstate(invalid="ignore"):
+        sim = np.nan_to_num((full @ full.T) / np.outer(norms, norms)) * (both / (both + shrink) if shrink else 1)
+    for u in range(42):
+        cand = [(round(sim[u, v], 12), v) for v in range(42) if v != u and both[u, v] > 0]
+        exp = sorted(cand, key=lambda t: (-t[0], t[1]))[:5]
+        own = got[got.a == u].sort_values("rank")
+        assert list(own["b"]) == [v for _, v in exp] and own["sim"].to_numpy() == pytest.approx([s for s, _ in exp], abs=1e-9)
+        assert list(own["overlap"]) == [both[u, v] for v in own["b"]] and list(own["rank"]) == list(range(1, len(own) + 1))
 
 
 def test_label_file_reader_line_numbers(spark, tmp_path):
