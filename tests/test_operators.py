@@ -300,14 +300,14 @@ def test_strict_requests(spark):
         S.require_rows(df.limit(0))
 
 
-def test_label_files_keep_the_image_id_on_every_line(spark, tmp_path):
+def test_label_files_name_the_image(spark, tmp_path):
     from tabularis.sources import sinks
 
     valid = spark.createDataFrame([(1, 1, "a 1"), (1, 2, "b 2"), (2, 1, "c 3")], "image_id long, line_no int, value string")
     images = spark.createDataFrame([(1, "train"), (2, "train"), (3, "train")], "image_id long, split string")
     sinks.write_label_files(valid, images, str(tmp_path / "labels"))
-    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "labels" / "split=train")).collect())
-    assert lines == ["1\ta 1", "1\tb 2", "2\tc 3", "3\t"]
+    files = {p.name: p.read_text() for p in (tmp_path / "labels" / "train").iterdir()}
+    assert files == {"1.txt": "a 1\nb 2\n", "2.txt": "c 3\n", "3.txt": ""}
 
 
 def test_crlf_label_files(spark, tmp_path):
@@ -340,3 +340,28 @@ def test_smote_rows_lie_between_neighbours(spark):
         votes = [cat[j] for j in near[r.base]]
         assert r.c == ("a" if votes.count(0) > votes.count(1) else "b")
     assert O.smote_nc(df.filter("y = 1"), "id", "y", ["u", "v"], ["c"]).count() == 0
+
+
+def test_batch_bodies(spark):
+    """0, 1, 1,000 and 1,001 records; one bad record rejects its batch; texts that are no array."""
+    import json
+
+    good = {"product_type": "L", "air_temperature_k": 300, "process_temperature_k": 310.5, "rotational_speed_rpm": 1500, "torque_nm": 40, "tool_wear_min": 0}
+    text = lambda *records: json.dumps(list(records))
+    bodies = {
+        "none": "[]", "one": text(good), "most": text(*[good] * 1000), "over": text(*[good] * 1001), "bad": text(good, {**good, "torque_nm": -1, "x": 1}, good, {}),
+        "odd": text(good, 5, None, [good]), "object": json.dumps(good), "broken": "[{", "tail": text(good) + "]", "two": "[],[]", "null": "null", "missing": None,
+    }
+    df = spark.createDataFrame(list(bodies.items()), "batch_id string, body string")
+    found, records = S.validate_batches(df)
+    rows = {r["batch_id"]: r for r in found.collect()}
+    errors = {k: sorted((e["at"], e["field"], e["rule"]) if e["at"] is not None else (e["field"], e["rule"]) for e in r["errors"]) for k, r in rows.items()}
+    assert {k for k, r in rows.items() if r["is_valid"]} == {"one", "most"} and set(rows) == set(bodies)
+    assert errors["none"] == [("body", "too_short")] and errors["over"] == [("body", "too_long")] and errors["object"] == [("body", "list_type")]
+    assert all(errors[k] == [("body", "json_invalid")] for k in ("broken", "tail", "two", "missing")) and errors["null"] == [("body", "list_type")]
+    assert errors["bad"][-2:] == [(3, "tool_wear_min", "missing"), (3, "torque_nm", "missing")] or (1, "torque_nm", "greater_than_equal") in errors["bad"]
+    assert {(1, "x", "extra_forbidden"), (1, "torque_nm", "greater_than_equal")} <= set(errors["bad"]) and len(errors["bad"]) == 8
+    assert [(r["at"], r["rule"]) for r in rows["odd"]["errors"]] and {r["at"] for r in rows["odd"]["errors"]} == {1, 2, 3}
+    assert {k: r["n_records"] for k, r in rows.items() if r["n_records"] is not None} == {"none": 0, "one": 1, "most": 1000, "over": 1001, "bad": 4, "odd": 4}
+    kept = records.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("at").alias("at"), F.min("torque_nm").alias("t")).collect()
+    assert sorted((r["batch_id"], r["n"], r["at"], r["t"]) for r in kept) == [("most", 1000, 999, 40.0), ("one", 1, 0, 40.0)]

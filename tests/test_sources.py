@@ -89,3 +89,29 @@ def test_ridge_equals_the_closed_form_and_can_be_saved(spark, tmp_path):
     model.write().overwrite().save(str(tmp_path / "m"))
     again = PipelineModel.load(str(tmp_path / "m")).transform(df).toPandas()["prediction"].to_numpy()
     assert again == pytest.approx(z @ exact + y.mean(), rel=1e-5)
+
+
+def test_one_label_file_an_image(spark, tmp_path):
+    """The file set equals the images, empty files included; a second write replaces the first."""
+    import os
+
+    images = spark.createDataFrame([(k, "train" if k % 2 else "val") for k in range(30)], "image_id long, split string").repartition(4)
+    valid = spark.createDataFrame([(k, n, f"{k} {n} é") for k in range(20) for n in (2, 1, 3)], "image_id long, line_no int, value string").repartition(3)
+    path = str(tmp_path / "labels")
+    sinks.write_label_files(valid, images.where("image_id < 5"), path)
+    sinks.write_label_files(valid, images, path)
+    found = {f"{d}/{n}": open(os.path.join(path, d, n), encoding="utf-8").read() for d in os.listdir(path) for n in os.listdir(os.path.join(path, d))}
+    assert found == {f"{'train' if k % 2 else 'val'}/{k}.txt": "".join(f"{k} {n} é\n" for n in (1, 2, 3)) if k < 20 else "" for k in range(30)}
+    assert os.listdir(tmp_path) == ["labels"]
+
+
+@pytest.mark.parametrize("bad", [("a", "../x"), ("a", ""), (None, "x"), ("a", "same")])
+def test_a_failed_job_leaves_no_file(spark, tmp_path, bad):
+    import os
+
+    from tabularis.sources.label_files import write_files
+
+    rows = [("a", f"n{k}", "text") for k in range(40)] + [("a", "same", None), (*bad, "late")]
+    with pytest.raises(Exception):  # noqa: B017 - raised in a task or in the commit
+        write_files(spark.createDataFrame(rows, "folder string, name string, content string").repartition(4), str(tmp_path / "out"))
+    assert os.listdir(tmp_path) == []
