@@ -365,3 +365,29 @@ def test_batch_bodies(spark):
     assert {k: r["n_records"] for k, r in rows.items() if r["n_records"] is not None} == {"none": 0, "one": 1, "most": 1000, "over": 1001, "bad": 4, "odd": 4}
     kept = records.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("at").alias("at"), F.min("torque_nm").alias("t")).collect()
     assert sorted((r["batch_id"], r["n"], r["at"], r["t"]) for r in kept) == [("most", 1000, 999, 40.0), ("one", 1, 0, 40.0)]
+
+
+def test_kmeans_sweep_against_plain_lloyd(spark):
+    """All settings in shared scans: the best inertia is no worse than that of separate fits, and labels fit it."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from tabularis.operators import kmeans
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(c, 0.35, (60, 2)) for c in ((0, 0), (3, 0), (0, 3), (3, 3), (1.5, 6))])
+    pts = spark.createDataFrame([(i, [float(a), float(b)]) for i, (a, b) in enumerate(x)], "id long, coords array<double>").repartition(4)
+    best, rounds = kmeans.sweep(pts, [2, 5, 7], 6, max_iter=100)
+    assert rounds <= 100 and set(best) == {2, 5, 7}
+    data = pts.select(array_to_vector("coords").alias("features"))
+    for k, (inertia, _, centres) in best.items():
+        separate = min(KMeans(k=k, seed=s, maxIter=100, tol=1e-4).fit(data).summary.trainingCost for s in range(3))
+        assert inertia <= separate * 1.01
+        lab = {r["id"]: r["label"] for r in pts.select("id", kmeans.label("coords", centres).alias("label")).collect()}
+        near = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        assert [lab[i] for i in range(len(x))] == near.argmin(axis=1).tolist()
+        assert inertia == pytest.approx(near.min(axis=1).sum())
+    again, _ = kmeans.sweep(pts.repartition(2), [5], 6, max_iter=100)
+    assert again[5][0] == pytest.approx(best[5][0])
+    few, _ = kmeans.sweep(pts.where("id < 2"), [3], 2)
+    assert few[3][0] == pytest.approx(0)
