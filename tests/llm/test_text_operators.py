@@ -276,10 +276,10 @@ def test_decontamination(spark, docs_of, clashing):
         around = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))]
         at = rnd.randint(0, len(around))
         rows.append((i, " ".join(around[:at] + it[rnd.choice([0, 0, 0, 2]) :] + around[at:])))
-    rows += [(1000, None), (1001, ""), (1002, " \n"), (1003, "the  OF")]
+    rows += [(1000, None), (1001, ""), (1002, " \n"), (1003, "the  OF"), (1004, f"{items[1][1]} " + "filler words of a very long text " * 30_000 + items[2][1])]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = table(decontam.decontaminate(clashing(docs_of(rows)), benchmark))
-    expected = {i: leaks(t, items) for i, t in rows}
+    expected = {i: leaks(t, items) for i, t in rows if i != 1004} | {1004: {1, 2}}
     assert {i: set(r["item_ids"]) for i, r in found.items()} == expected
     assert any(expected.values()) and not all(expected.values())
     assert all(r["contaminated"] == bool(expected[i]) for i, r in found.items())
@@ -300,13 +300,41 @@ def test_decontamination_in_blocks(spark, docs_of, monkeypatch):
 
 def test_hamming_blocks_lose_nothing():
     rnd = np.random.default_rng(0)
-    item = rnd.integers(0, 1 << 16, decontam.BLOCKS).astype(np.uint16)
-    near = np.repeat(item[None], 500, axis=0)
+    items = rnd.integers(0, 256, (30, decontam.BLOCKS)).astype(np.uint8)
+    near = np.repeat(items, 40, axis=0)
     for row in near:
         for bit in rnd.choice(decontam.BITS, rnd.integers(0, 100), replace=False):
-            row[bit // 16] ^= np.uint16(1 << (bit % 16))
-    apart = decontam.POPCOUNT[near ^ item].sum(axis=1, dtype=int)
-    assert (decontam.within(near, item) == (apart <= decontam.RADIUS)).all()
+            row[bit // 8] ^= np.uint8(1 << (bit % 8))
+    apart = decontam.POPCOUNT[near[:, None] ^ items[None]].sum(axis=2, dtype=int)
+    assert set(zip(*(x.tolist() for x in decontam.Table(items).within(near)), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(apart <= decontam.RADIUS)), strict=True))
+
+
+def test_window_prints_in_runs(monkeypatch):
+    rnd = np.random.default_rng(1)
+    grams = rnd.integers(0, 2**64, 90, dtype=np.uint64)
+    monkeypatch.setattr(decontam, "RUN", 7)
+    for size in (1, 4, 30, 200):
+        for start, count in ((-size + 1, 60), (0, 90), (85, 5)):
+            found = decontam.window_prints(grams, start, count, size)
+            plain = [decontam.signs(grams[max(s, 0) : max(s + size, 0)]).sum(axis=0, dtype=int) for s in range(start, start + count)]
+            assert (found == decontam.packed(np.array(plain))).all()
+
+
+def test_fingerprint_recall():
+    """Windows at a similarity of 0.8 and somewhat more, against brute force on their multisets: at least 0.99 are found."""
+    rnd = np.random.default_rng(2)
+    found = total = 0
+    for _ in range(400):
+        item = rnd.integers(0, 2**64, rnd.integers(20, 60), dtype=np.uint64)
+        other = item.copy()
+        gone = rnd.choice(len(item), int(len(item) / 9), replace=False)  # similarity 0.8 to 0.82
+        other[gone] = rnd.integers(0, 2**64, len(gone), dtype=np.uint64)
+        same = len(np.intersect1d(item, other))
+        if same / (2 * len(item) - same) >= 0.8:
+            total += 1
+            table = decontam.Table(decontam.packed(decontam.sum_of(item)[None]))
+            found += len(table.within(decontam.packed(decontam.sum_of(other)[None]))[0])
+    assert total > 300 and found >= 0.99 * total
 
 
 def test_byte_slices_cover_the_column():
