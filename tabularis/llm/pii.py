@@ -1,9 +1,10 @@
 """Personal data by anchor expansion.
 
-An Aho-Corasick automaton finds anchors in one scan of a text: at-signs, plus signs, URL schemes and
-identifier cues. Local parsers expand an anchor to the boundaries of the address or number and validate
-it (domain labels, byte ranges, digit counts, Luhn, IBAN check digits). Numbers without a cue (addresses of
-four parts, card numbers) are expanded from digits, only in texts that have any.
+An Aho-Corasick automaton finds anchors in one scan of a text: at-signs, plus signs, digits, URL schemes, identifier cues and
+the fixed starts of tokens. Local parsers expand an anchor to the boundaries of the address or number and validate
+it (domain labels, byte ranges, digit counts, Luhn, IBAN check digits). A digit is an anchor of addresses of four parts and of
+card numbers where a run of digits starts; what a parser has read, valid or not, is not read by it again, so that the
+matches of a kind are the leftmost ones that do not overlap.
 
 Kinds: email, ip, card, phone (the base kinds) and, added by the cues, url, iban, account, secret. Spans are
 code points, end exclusive; kinds may overlap each other, spans of one kind do not.
@@ -31,12 +32,20 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-DIGIT = re.compile(r"[0-9]")
 URL = re.compile(r"://[^\s<>\"'`{}|\\^]+")
 IBAN = re.compile(r"[\s:#=]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 ACCOUNT = re.compile(r"(?:\s*(?:no|nr|num|number|id))?[\s.:#=]{1,4}([A-Za-z]{0,3}[0-9](?:[ -]?[0-9]){5,17})(?![0-9A-Za-z])")
-SECRET = re.compile(r"\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9+/_=.-]{8,})")
-ACCESS_KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
+SECRET = re.compile(r"(?:\s{0,2}[:=]\s{0,2}|\s{1,2}is\s{1,2}(?=[^\s]*[0-9]))[\"']?([A-Za-z0-9+/_=.-]{8,})")
+#: Starts of tokens that need no cue, and what follows them.
+TOKENS = {
+    "AKIA": re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])"),
+    **dict.fromkeys(("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"[A-Za-z0-9]{20,}(?![A-Za-z0-9])")),
+    **dict.fromkeys(("sk_live_", "sk_test_", "rk_live_"), re.compile(r"[A-Za-z0-9]{16,}(?![A-Za-z0-9])")),
+    **dict.fromkeys(("xoxb-", "xoxp-"), re.compile(r"[A-Za-z0-9-]{10,}")),
+    "eyJ": re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
+    "Bearer ": re.compile(r" *[A-Za-z0-9_.~+/-]{16,}=*"),
+    "-----BEGIN ": re.compile(r"[A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----)?"),
+}
 SCHEMES = ("http", "https", "ftp", "ftps")
 #: Cues, matched without regard to case where they are lower-case here.
 ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta", "passport", "customer", "ssn")
@@ -60,14 +69,21 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _byte(part: str) -> bool:
+    """Whether a part of an address is at most 255 (leading zeros count for nothing)."""
+    return len(p := part.lstrip("0")) < 4 and int(p or "0") <= 255
+
+
 def _automaton():
     a = ahocorasick.Automaton()
     for cue in (*ACCOUNT_CUES, *SECRET_CUES, "iban"):
         kind = "iban" if cue == "iban" else "secret" if cue in SECRET_CUES else "account"
         for form in (cue, cue.capitalize(), cue.upper()):
             a.add_word(form, (kind, len(form)))
-    for mark in ("@", "+", "://", "AKIA"):
+    for mark in ("@", "+", "://", *TOKENS):
         a.add_word(mark, (mark, len(mark)))
+    for digit in "0123456789":
+        a.add_word(digit, ("digit", 1))
     a.make_automaton()
     return a
 
@@ -87,7 +103,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             found[kind].append((start, end))
             free[kind] = end
 
-    plus = False
+    read = {"ip": 0, "card": 0, "phone": 0}  # where the parser of a kind has come to
     for end, (what, size) in _AUTOMATA[0].iter(text):
         at = end + 1
         if what == "@":
@@ -96,8 +112,22 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 start -= 1
             if start < end and (m := DOMAIN.match(text, at)):
                 add("email", start, m.end())
+        elif what == "digit":
+            if end and "0" <= text[end - 1] <= "9":
+                continue  # within a run that its first digit has expanded
+            if end >= read["ip"] and (m := IP.match(text, end)):
+                read["ip"] = m.end()
+                if all(_byte(p) for p in m.group().split(".")):
+                    found["ip"].append(m.span())
+            if end >= read["card"] and (m := CARD.match(text, end)):
+                read["card"] = m.end()
+                if 13 <= m.end() - end and 13 <= len(d := _digits(m.group())) <= 19 and luhn(d):
+                    found["card"].append(m.span())
         elif what == "+":
-            plus = True
+            if end >= read["phone"] and (m := PHONE.match(text, end)):
+                read["phone"] = m.end()
+                if 9 <= len(_digits(m.group())) <= 15:
+                    found["phone"].append(m.span())
         elif what == "://":
             start = end - 2
             while start > free["url"] and text[start - 1].isascii() and text[start - 1].isalpha() and end - start < 8:
@@ -121,17 +151,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         elif what == "secret":
             if m := SECRET.match(text, at):
                 add("secret", *m.span(1))
-        elif m := ACCESS_KEY.match(text, at):
+        elif not text[max(0, at - size - 1) : at - size].isalnum() and (m := TOKENS[what].match(text, at)):
             add("secret", at - size, m.end())
-    if DIGIT.search(text):
-        for m in IP.finditer(text):
-            if all(int(p) <= 255 if len(p) < 9 else not p.strip("0") or int(p.lstrip("0")[:4]) <= 255 and len(p.lstrip("0")) < 4 for p in m.group().split(".")):
-                found["ip"].append(m.span())
-        for m in CARD.finditer(text):
-            if 13 <= m.end() - m.start() and 13 <= len(d := _digits(m.group())) <= 19 and luhn(d):
-                found["card"].append(m.span())
-        if plus:
-            found["phone"] += [m.span() for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
     return [(k, *s) for k in KINDS for s in found[k]]
 
 

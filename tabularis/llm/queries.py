@@ -41,7 +41,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
     base = of(*pii.BASE_KINDS)
-    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

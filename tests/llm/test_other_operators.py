@@ -119,6 +119,17 @@ def test_pii_added_spans_and_long_runs():
     assert pii.find_spans("a" * 300_000 + "@" * 1000) == [] and pii.find_spans("9" * 100_000 + ".1.1.1") == []
 
 
+@pytest.mark.parametrize("token", ["ghp_" + "a1B2" * 9, "sk_live_" + "x9" * 12, "xoxb-1234567890-abcdef", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmN", "Bearer abcdef0123456789ABCDEF", "-----BEGIN RSA PRIVATE KEY-----\nMIIEow\n-----END RSA PRIVATE KEY-----"])
+def test_pii_bare_tokens(token):
+    text = f"some words {token} and more"
+    assert [text[a:b] for k, a, b in pii.find_spans(text) if k == "secret"] == [token]
+
+
+def test_pii_secret_in_a_sentence():
+    found = lambda t: [t[a:b] for k, a, b in pii.find_spans(t) if k == "secret"]
+    assert found("the password is hunter2hunter2 now") == ["hunter2hunter2"] and found("a password is something secret") == []
+
+
 def test_pii_rows(docs_of, clashing):
     rows = [*EDGE_ROWS, (9, "mail é me@x.example now")]
     found = pii.scan(clashing(docs_of(rows))).collect()
