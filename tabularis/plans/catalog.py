@@ -8,7 +8,7 @@ import importlib
 from tabularis.plans.common import QueryFn
 from tabularis.session import ship
 
-PLAN_MODULES = ("sales", "quality", "metrics", "profile", "prep", "recsys", "annotations", "cluster", "learners", "scoring", "columns")
+PLAN_MODULES = ("sales", "quality", "metrics", "profile", "prep", "recsys", "annotations", "cluster", "learners", "scoring", "columns", "files")
 
 
 def _modules():

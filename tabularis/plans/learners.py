@@ -155,20 +155,21 @@ SALES_BOOSTS = {
 }
 
 
-def _sales_predictions(parts: dict[str, DataFrame], trees: bool = True) -> tuple[DataFrame, dict]:
-    """(model, part, row, label, prediction) of every setting of the sales task, fitted on ``train``; floored at 0."""
+def _sales_predictions(parts: dict[str, DataFrame], trees: bool = True, names: tuple[str, ...] | None = None) -> tuple[DataFrame, dict]:
+    """(model, part, row, label, prediction) of every setting of the sales task (or those of ``names``), fitted on
+    ``train``; floored at 0."""
     found, seconds = [], {}
-    for alpha in SALES_RIDGE:
-        name = f"ridge_a{alpha:g}"
+    wanted = lambda settings: {n: v for n, v in settings.items() if names is None or n in names}
+    for name, alpha in wanted({f"ridge_a{a:g}": a for a in SALES_RIDGE}).items():
         model, fit = L.timed(lambda: _ridge(parts["train"], alpha))
         scored = _union([model.transform(d).select(F.lit(name).alias("model"), F.lit(n).alias("part"), F.col("rid").alias("row"), F.col("weekly_sales").alias("label"), "prediction") for n, d in parts.items()])
         written, took = L.timed(lambda: cut_lineage(scored))
         found.append(written)
         seconds[name] = (fit, took)
     if trees:
-        hot, names = _indicators(parts["train"], parts, ["store"])
+        hot, stores = _indicators(parts["train"], parts, ["store"])
         numeric = [c for c in SALES_FEATS if c != "store"]
-        scored, more, _ = _tree_scores(hot, numeric + names, "weekly_sales", SALES_FORESTS, SALES_BOOSTS)
+        scored, more, _ = _tree_scores(hot, numeric + stores, "weekly_sales", wanted(SALES_FORESTS), wanted(SALES_BOOSTS))
         found.append(scored.withColumn("prediction", F.col("scores")[0]).drop("scores"))
         seconds |= more
     return _floored(_union(found)), seconds
@@ -233,6 +234,38 @@ def permutation_importance(spark, sf_dir):
     return round_cols(per.groupBy("feature").agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")), 4)
 
 
+def track_permutation_importance(spark, sf_dir):
+    """L15 + G6: accuracy lost when one feature of the test part is shuffled (20 repeats), multinomial logistic model, by rank."""
+    train, test = _track_frames(spark, sf_dir)
+    va = VectorAssembler(inputCols=TRACK_COLS, outputCol="features")
+    model = L.logistic_learners(train.count())["logistic_C1.0"].fit(va.transform(train))
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    base = model.transform(va.transform(test)).agg(right).first()[0]
+    shuffled = L.permuted_frames(cut_lineage(test.select("vec_id", "label", *TRACK_COLS)), "vec_id", TRACK_COLS, 20)
+    per = model.transform(va.transform(shuffled)).groupBy("feature", "rep").agg((F.lit(base) - right).alias("lost"))
+    out = per.groupBy("feature").agg(F.avg("lost").alias("importance_mean"), F.stddev_pop("lost").alias("importance_std"))
+    return round_cols(out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("importance_mean"), "feature"))), 6)  # a row a feature
+
+
+FITTED = ("ridge_a1", "forest_dnone", "boosting_n300_d3")
+
+
+def model_prediction_table(spark, sf_dir):
+    """The last 20 weeks with the actual value and a column for each fitted model (the best setting of each kind on
+    the training folds is left to ``sales_grid_cv``)."""
+    train, test = _sales_frames(spark, sf_dir)
+    found, _ = _sales_predictions({"train": train, "test": test}, names=FITTED)
+    wide = found.where("part = 'test'").groupBy(F.col("row").alias("rid")).pivot("model", list(FITTED)).agg(F.first("prediction"))
+    out = test.select("rid", "store", "week", F.col("weekly_sales").cast("double").alias("actual")).join(wide, "rid").drop("rid")
+    return round_cols(out, 4)
+
+
+def model_forecast_by_date(spark, sf_dir):
+    """M15 + G7: actual and fitted totals by week."""
+    p = model_prediction_table(spark, sf_dir)
+    return round_cols(p.groupBy("week").agg(*[F.sum(c).alias(c) for c in ("actual", *FITTED)]), 2)
+
+
 NAIVE = {"naive_52": "lag_52", "naive_1": "lag_1", "mean_4": "rolling_mean_4", "mean_13": "rolling_mean_13"}
 
 
@@ -631,6 +664,9 @@ QUERIES = {
     "sales_grid_cv": sales_grid_cv,
     "prediction_table": prediction_table,
     "forecast_by_date": forecast_by_date,
+    "model_prediction_table": model_prediction_table,
+    "model_forecast_by_date": model_forecast_by_date,
+    "track_permutation_importance": track_permutation_importance,
     "tracks_models": tracks_models,
     "tracks_grid_cv": tracks_grid_cv,
     "cover_grid_holdout": cover_grid_holdout,

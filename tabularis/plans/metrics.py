@@ -13,8 +13,10 @@ MIN_RECALL = 0.5
 CUT = 0.5
 
 CTES["v_pred"] = ((), """v_pred AS (
-  SELECT vec_id, label, CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS INTEGER) AS pred
-  FROM embeddings)""")
+  SELECT vec_id, label, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS pred
+  FROM (SELECT vec_id, label, list_transform(range(10), lambda c: list_sum(list_transform(range(1, len(embedding) + 1),
+          lambda i: CASE WHEN (i - 1) % 10 = c THEN CAST(round(CAST(embedding[i] AS DOUBLE) * 1e6) AS BIGINT) ELSE 0 END))) AS s
+        FROM embeddings) e)""")
 
 CTES["v_models"] = (("v_scored",), """v_models AS (
   SELECT row_key, label, 'blend' AS model, score,
@@ -30,10 +32,13 @@ CTES["v_models"] = (("v_scored",), """v_models AS (
 
 
 def v_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Multiclass output: predicted class = position of the largest of the first 10 dims."""
-    e = Tables(spark, sf_dir).embeddings
-    head = F.slice("embedding", 1, 10)
-    return e.select("vec_id", "label", (F.array_position(head, F.array_max(head)) - 1).cast("int").alias("pred"))
+    """Multiclass output over whole vectors: class c scores the sum of the components whose place is c modulo 10
+    (in millionths, so that sums are exact); the first class with the largest score is predicted."""
+    e = Tables(spark, sf_dir).embeddings.withColumn("millionths", F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("long")))
+    zero = F.lit(0).cast("long")
+    part = lambda c: F.aggregate(F.transform("millionths", lambda x, i: F.when(i % 10 == c, x).otherwise(zero)), zero, lambda a, x: a + x)
+    e = e.select("vec_id", "label", F.array(*[part(c) for c in range(10)]).alias("s"))
+    return e.select("vec_id", "label", (F.array_position("s", F.array_max("s")) - 1).cast("int").alias("pred"))
 
 
 def v_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +242,22 @@ JOIN (SELECT m.model, count_if(m.score >= ch2.threshold) AS alerts,
     ),
 }
 
+def confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J8 + M8: one row a true class and one column a predicted class, both reindexed to all ten labels."""
+    labels = range(10)
+    counts = v_pred(spark, sf_dir).groupBy("label").pivot("pred", list(labels)).count()
+    every = spark.range(10).select(F.col("id").cast("int").alias("label"))
+    return every.join(counts, "label", "left").select("label", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"pred_{c}") for c in labels])
+
+
+ORACLE["confusion_wide"] = with_views(
+    "SELECT CAST(l.range AS INTEGER) AS label, " + ", ".join(f"count_if(p.pred = {c}) AS pred_{c}" for c in range(10))
+    + " FROM range(10) l LEFT JOIN v_pred p ON p.label = l.range GROUP BY l.range",
+    "v_pred",
+)
+
 QUERIES = {
+    "confusion_wide": confusion_wide,
     "regression_metrics": regression_metrics,
     "class_report": class_report,
     "class_summary": class_summary,

@@ -98,7 +98,27 @@ _DIRTY_NOINF = """d AS (SELECT loan_id,
   CASE WHEN isinf(balance) THEN NULL ELSE balance END AS balance,
   priority, segment, label FROM v_dirty)"""
 
+def constant_column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: which columns of the sensor table, widened by constant and nearly constant ones, would be dropped."""
+    d = view(spark, sf_dir, "v_ops").select(
+        "row_key", "product_type", "torque_nm", "failure", F.lit(7).alias("batch"), F.lit(None).cast("string").alias("note"),
+        F.when(F.col("torque_nm") > 20, F.lit("x")).alias("half"), (F.col("torque_nm") * 0).alias("zero"),
+    )
+    gone = Q.constant_columns(d)
+    kept = Q.drop_columns(d, ["row_key"]).columns
+    return spark.createDataFrame([(c, c in gone, c in kept) for c in d.columns], "name string, is_constant boolean, is_kept boolean")
+
+
 ORACLE = {
+    "constant_column_check": with_views(
+        """SELECT name, d = 1 AS is_constant, d > 1 AND name <> 'row_key' AS is_kept FROM (
+  SELECT 'row_key' AS name, count(DISTINCT row_key) AS d FROM v_ops UNION ALL SELECT 'product_type', count(DISTINCT product_type) FROM v_ops
+  UNION ALL SELECT 'torque_nm', count(DISTINCT torque_nm) FROM v_ops UNION ALL SELECT 'failure', count(DISTINCT failure) FROM v_ops
+  UNION ALL SELECT 'batch', 1 UNION ALL SELECT 'note', 1
+  UNION ALL SELECT 'half', count(DISTINCT CASE WHEN torque_nm > 20 THEN 'x' ELSE '' END) FROM v_ops
+  UNION ALL SELECT 'zero', count(DISTINCT torque_nm * 0) FROM v_ops) c""",
+        "v_ops",
+    ),
     "clean_summary": with_views(
         f"""SELECT CAST(sum(n) AS BIGINT) AS original_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, count(*) AS deduplicated_rows,
        CAST(sum(inf_n) AS BIGINT) AS infinite_values,
@@ -162,6 +182,7 @@ FROM v_ops""",
 }
 
 QUERIES = {
+    "constant_column_check": constant_column_check,
     "clean_summary": clean_summary,
     "missing_by_column": missing_by_column,
     "dup_keep_last": dup_keep_last,
