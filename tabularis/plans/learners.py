@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+import os
+import uuid
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,11 +24,12 @@ from tabularis.operators import oversample as O
 from tabularis.operators import splits as X
 from tabularis.operators import timeseries as ts
 from tabularis.operators import trees as T
+from tabularis.operators.stages import CodeEstimator, FillEstimator
 from tabularis.plans.common import round_cols, view
 from tabularis.plans.oracle_views import with_views
-from tabularis.plans.prep import _fit_loans
+from tabularis.plans.prep import _fit_loans, loans_split
 from tabularis.plans.sales import _FEAT_CTE, featured_sales
-from tabularis.session import cut_lineage
+from tabularis.session import cut_lineage, ensure_checkpoint_dir
 
 OPS_NUM = ["air_temperature_k", "process_temperature_k", "rotational_speed_rpm", "torque_nm", "tool_wear_min",
            "temperature_difference_k", "mechanical_power_w", "tool_stress", "torque_speed_ratio"]
@@ -314,6 +316,22 @@ def logit(spark, sf_dir):
     return round_cols(M.class_summary(preds, "label", "prediction", by="model"), 6)
 
 
+def loan_pipeline(spark, sf_dir):
+    """E9 + K3: imputer, category codes, indicators, scaling and logistic regression as one pipeline, saved and read again;
+    scores of the loaded one on the test part."""
+    d = cut_lineage(loans_split(spark, sf_dir).withColumn("label", F.col("label").cast("double")))
+    train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
+    stages = [FillEstimator(medians=["amount"], modes=["priority"])]
+    stages += [CodeEstimator(inputCol=c, outputCol=f"{c}_code") for c in LOAN_CAT]
+    stages += [OneHotEncoder(inputCol=f"{c}_code", outputCol=f"{c}_hot", handleInvalid="keep") for c in LOAN_CAT]
+    stages += [VectorAssembler(inputCols=LOAN_NUM, outputCol="numbers"), StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True)]
+    stages += [VectorAssembler(inputCols=["scaled", *(f"{c}_hot" for c in LOAN_CAT)], outputCol="features")]
+    stages += [LogisticRegression(regParam=1.0 / train.count(), elasticNetParam=0.0, standardization=False, maxIter=2000)]
+    path = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    Pipeline(stages=stages).fit(train).write().save(path)
+    return round_cols(M.class_summary(PipelineModel.load(path).transform(test), "label", "prediction"), 6)
+
+
 def smote_rows(spark, sf_dir):
     """The synthetic loan rows that level the training classes."""
     train, _ = _loan_frames(spark, sf_dir)
@@ -672,6 +690,7 @@ QUERIES = {
     "cover_grid_holdout": cover_grid_holdout,
     "tracks_pca": tracks_pca,
     "logit": logit,
+    "loan_pipeline": loan_pipeline,
     "smote_rows": smote_rows,
     "smote_models": smote_models,
     "tree": tree,
