@@ -91,6 +91,33 @@ def test_licenses(docs_of, clashing):
     assert licenses.scan(docs_of([], 1)).count() == 0
 
 
+FORMS = {  # wordings that are not among the notices
+    "Dual licensed under MIT or Apache-2.0.": {"MIT", "Apache-2.0"},
+    "MIT License": {"MIT"},
+    "Apache License, Version 2.0": {"Apache-2.0"},
+    "This is licensed under the ISC license": {"ISC"},
+    "made available under the terms of the\nEclipse Public License v2.0 which accompanies this distribution": {"EPL"},
+    "Licensed under the EUPL, Version 1.2": {"EUPL"},
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License.": {"GPL"},
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in it": {"MIT"},
+    "The text is available under CC BY-SA 4.0, licensed by its authors": {"CC-BY-SA"},
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed": {"MPL-2.0"},
+}
+
+
+def test_licenses_in_other_forms(docs_of):
+    """Wrapped, dual and one-line notices, also within one very long line; sentences that only sound like them."""
+    rows = corpus(19, 60)
+    prose = " ".join(t for _, t in rows[:6]).replace("\n", " ")
+    rows = [(i, t) for i, t in rows] + [(1000 + k, f) for k, f in enumerate(FORMS)] + [(2000 + k, f"{prose} {f} {prose}") for k, f in enumerate(FORMS)]
+    rows += [(3000, "The licence of the pub was renewed. She had permission, and a warrant."), (3001, "x " * 100_000 + "Released under the MIT License.")]
+    got = {r["doc_id"]: set(r["families"]) for r in licenses.scan(docs_of(rows)).collect()}
+    alone = sum(want <= got[1000 + k] for k, want in enumerate(FORMS.values()))
+    within = sum(want <= got[2000 + k] for k, want in enumerate(FORMS.values()))
+    assert alone >= 8 and within >= 8 and got[3001] == {"MIT"}
+    assert not got[3000] and not any(got[i] for i, _ in rows if i < 1000)
+
+
 # --- personal data ---------------------------------------------------------------------------
 
 
