@@ -221,6 +221,40 @@ def test_quality_on_held_out_rows(spark):
     assert (held.loc[held["quality"] == 1, "predicted"] == 1).mean() > 0.97
 
 
+def test_quality_fit_against_numpy(spark):
+    """Normal equations by fold, out-of-fold scores and isotonic calibration, all rows in one numpy array."""
+    rnd = np.random.default_rng(4)
+    n, k = 300, len(quality.STATS)
+    x = rnd.normal(size=(n, k))
+    y = (x[:, 0] + 0.5 * rnd.normal(size=n) > 0).astype(float)
+    stats = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(n)], "id long, x array<double>").repartition(5)
+    labels = spark.createDataFrame([(i, int(y[i])) for i in range(n)], "doc_id long, quality int")
+    model = quality.fit(stats, labels)
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i in range(n)])
+    x, y, fold = x[fold > 0], y[fold > 0], fold[fold > 0]
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    phi = quality._phi(x, mean, scale)
+
+    def ridge(rows):
+        a, b = phi[rows], y[rows]
+        penalty = np.eye(a.shape[1]) * quality.RIDGE * len(a)
+        penalty[-1, -1] = 0
+        return np.linalg.solve(a.T @ a + penalty + 1e-9 * np.eye(a.shape[1]), a.T @ b)
+
+    assert model.mean == pytest.approx(mean) and model.scale == pytest.approx(scale)
+    assert model.weights == pytest.approx(ridge(np.arange(len(y))), rel=1e-6, abs=1e-8)
+    raw = np.empty(len(y))
+    for f in range(1, 5):
+        raw[fold == f] = phi[fold == f] @ ridge(np.flatnonzero(fold != f))
+    spot = np.floor((np.clip(raw, -1, 2) + 1) / 3 * quality.BINS)
+    bins = [(len(at), raw[at].mean(), y[at].mean()) for at in (np.flatnonzero(spot == b) for b in np.unique(spot))]
+    count, middle, level = (np.array(v) for v in zip(*bins, strict=True))
+    # isotonic regression as the largest of all smallest averages
+    means = lambda a, b: np.average(level[a : b + 1], weights=count[a : b + 1])
+    rising = np.array([max(min(means(a, b) for b in range(i, len(level))) for a in range(i + 1)) for i in range(len(level))])
+    assert np.interp(middle, model.raw, model.level) == pytest.approx(np.interp(middle, *zip(*[(np.average(middle[rising == v], weights=count[rising == v]), v) for v in np.unique(rising)], strict=True)), abs=1e-6)
+
+
 def test_quality_edges(spark, docs_of, clashing):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
     found = quality.classify(clashing(docs_of(EDGE_ROWS)), labels).collect()
