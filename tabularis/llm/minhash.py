@@ -8,7 +8,8 @@ documents are linked if 100 * |intersection| >= percent * |union|; the classes a
    a pair at 85 per cent misses all bands with probability (1 - 0.85**6)**32 = 3e-7; for 80 per cent
    take bands of five, (1 - 0.8**5)**38 = 3e-7.
 2. Equal sets (by a 128-bit digest) collapse to their smallest document before anything is compared, so
-   exact copies cost one row each.
+   exact copies cost one row each. Rows get their class by digest and one of ``SALTS`` salts, so that a set that most rows
+   share is spread over many tasks; rows without a shingle take part in no join.
 3. Band keys held by two or more sets give star edges to the key's smallest set (never pairs within a
    key); their connected components are the candidate classes. Every linked pair shares a key, so no
    link crosses two candidate classes.
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularis.llm.common import NULL_ID, byte_slices, doc_texts, lean, public_id, written
@@ -41,6 +42,7 @@ from tabularis.llm.words import Words, mixed, shingles
 SHINGLE = 5
 HASHES = 96
 BLOCK = 1 << 20  # shingles
+SALTS = 32
 _rng = np.random.default_rng(42)
 FLIP = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 FACTOR = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -158,6 +160,11 @@ def _verify(percent: int):
     return run
 
 
+def salt() -> Column:
+    """Rows of one set are spread over SALTS tasks; a set knows the salts that its rows have."""
+    return F.pmod(F.xxhash64("id", "t"), F.lit(SALTS)).alias("salt")
+
+
 def _linked(docs: DataFrame, percent: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of all rows, distinct sets with their smallest row (id, t), and verified links between sets.
 
@@ -165,8 +172,9 @@ def _linked(docs: DataFrame, percent: int, rows: int) -> tuple[DataFrame, DataFr
     """
     texts = doc_texts(docs).select("id", F.xxhash64("text").alias("t"), "text")
     sig = written(texts.mapInArrow(lean(_signature_rows(rows)), "id long, t long, n long, d1 long, d2 long, keys array<long>"), "signatures")
-    sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(F.min(F.struct("id", "t", "n", "keys")).alias("s"))
-    sets = written(sets.select("node", "s.*"), "sets")
+    least, salts = F.min(F.struct("id", "t", "n", "keys")).alias("s"), F.collect_set(salt()).alias("salts")
+    sets = sig.where("n > 0").groupBy(F.col("d1").alias("node"), "d2").agg(least, salts)
+    sets = written(sets.select("node", "s.*", "salts"), "sets")
     held = sets.select("node", F.explode("keys").alias("key"))
     low = held.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("m")).where("m > 1").select("key", "low")
     stars = held.join(low, "key").where("node <> low").groupBy("node").agg(F.min("low").alias("b"), F.collect_set("low").alias("lows"))
@@ -196,8 +204,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = 6) -> DataFr
     named = found.join(sets, "node").groupBy("root").agg(F.min("id").alias("component"))
     named = found.join(named, "root").select(F.col("node").alias("d1"), "component")
     # a set's own smallest id, or its class's; both sides have one row for each set
-    firsts = sets.select(F.col("node").alias("d1"), F.col("id").alias("first")).join(named, "d1", "left")
-    out = sig.select("id", "n", "d1").join(firsts, "d1", "left").select("id", "n", F.coalesce("component", "first", "id").alias("component"))
+    firsts = sets.select(F.col("node").alias("d1"), F.col("id").alias("first"), "salts").join(named, "d1", "left")
+    firsts = firsts.select("d1", F.explode("salts").alias("salt"), F.coalesce("component", "first").alias("component"))
+    out = sig.where("n > 0").select("id", "n", "d1", salt()).join(firsts, ["d1", "salt"]).select("id", "n", "component")
+    out = out.unionByName(sig.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(
         public_id().alias("doc_id"), F.col("n").alias("n_shingles"), public_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )
@@ -214,8 +224,9 @@ def without_near_copies(docs: DataFrame, percent: int = 85, rows: int = 6) -> Da
     first = F.struct("id", "t")
     named = found.join(sets, "node").groupBy("root").agg(F.min(first).alias("best"))
     named = found.join(named, "root").select("node", "best")
-    best = sets.select("node", first.alias("own")).join(named, "node", "left").select(F.col("node").alias("d1"), F.coalesce("best", "own").alias("best"))
-    one = sig.where("n > 0").groupBy("id", "t", "d1").agg(F.count("*").alias("m")).join(best, "d1")
+    best = sets.select("node", first.alias("own"), "salts").join(named, "node", "left")
+    best = best.select(F.col("node").alias("d1"), F.explode("salts").alias("salt"), F.coalesce("best", "own").alias("best"))
+    one = sig.where("n > 0").groupBy("id", "t", "d1").agg(F.count("*").alias("m")).withColumn("salt", salt()).join(best, ["d1", "salt"])
     # what does not stay as it is: rows of another row's class (m = 0), and rows that stand m times
     stays = F.col("best") == first
     marks = one.where(~stays | (F.col("m") > 1)).select(F.col("id").alias("_id"), F.col("t").alias("_t"), F.when(stays, F.col("m")).otherwise(0).alias("_m"))
