@@ -24,7 +24,6 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularis.operators import metrics as M
 
 
 def features_pipeline(numeric: Sequence[str], categorical: Sequence[str] = (), out: str = "features") -> list:
