@@ -16,6 +16,8 @@ NAMES = [
     "quantile_cuts", "histogram_bins", "corr_matrix", "strongest_sensor",
     "rec_item_means", "rec_popularity_topk", "rec_user_similarity",
     "annotation_quarantine", "annotation_class_hist", "validate_requests", "silhouette_exact", "ols_simple",
+    "validate_batches", "label_files", "confusion_wide", "class_summary", "constant_column_check", "latency_summary",
+    "csv_round_trip", "tab_round_trip", "pipe_round_trip", "json_documents", "request_files", "dataset_manifest", "image_catalogue",
 ]
 
 
