@@ -100,6 +100,17 @@ def encode_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("loan_id", "priority_code", "segment_code")
 
 
+def encode_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 / E6 for any number of categories: indicators as one sparse column, given as the place of the one (null: all zeros)."""
+    d = loans_split(spark, sf_dir)
+    train = d.filter(F.col("split") == "train")
+    out = d.select("loan_id", "priority", "segment")
+    for c, drop in (("priority", False), ("segment", True)):
+        out = E.one_hot_vector(out, c, E.fit_ordinal(train, c), drop_first=drop)
+    at = lambda c: F.get(F.map_keys(f"{c}_hot"), F.lit(0)).alias(f"{c}_at")
+    return out.select("loan_id", at("priority"), at("segment"))
+
+
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced class weights of the training labels and the positive-class ratio."""
     train = loans_split(spark, sf_dir).filter(F.col("split") == "train")
@@ -206,7 +217,11 @@ FROM (SELECT label, count(*) AS n_c FROM tr GROUP BY label) c""",
     ),
 }
 
+ORACLE["encode_sparse"] = f"""SELECT loan_id, CASE WHEN priority_code >= 0 THEN priority_code END AS priority_at,
+       CASE WHEN segment_code >= 1 THEN segment_code - 1 END AS segment_at FROM ({ORACLE["encode_ordinal"]}) q"""
+
 QUERIES = {
+    "encode_sparse": encode_sparse,
     "split_random": split_random,
     "split_stratified": split_stratified,
     "split_three_way": split_three_way,
