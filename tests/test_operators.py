@@ -391,3 +391,23 @@ def test_kmeans_sweep_against_plain_lloyd(spark):
     assert again[5][0] == pytest.approx(best[5][0])
     few, _ = kmeans.sweep(pts.where("id < 2"), [3], 2)
     assert few[3][0] == pytest.approx(0)
+
+
+def test_detection_map_in_ranges(spark, monkeypatch):
+    """Average precision by hand, with one and with many ranges of confidence."""
+    rng = np.random.default_rng(3)
+    truth = [(i, c, b, 0.1 + 0.2 * b, 0.5, 0.1, 0.1) for i in range(25) for c in range(2) for b in range(4)]
+    preds = [(i, c, b, x + float(rng.choice([0, 0, 0.01, 0.3])), y, w, h, round(float(rng.random()), 2)) for i, c, b, x, y, w, h in truth if rng.random() < 0.8]
+    t = spark.createDataFrame(truth, "image_id long, class_id int, box_id long, x double, y double, w double, h double")
+    p = spark.createDataFrame(preds, "image_id long, class_id int, box_id long, x double, y double, w double, h double, conf double")
+    whole = A.detection_map(t, p).first().asDict()
+    found = A.match_detections(t, p).toPandas()
+    ap = []
+    for c in range(2):
+        m = found[found["class_id"] == c].sort_values(["conf", "image_id", "box_id"], ascending=[False, True, True])
+        tp = m["tp_50"].to_numpy()
+        precision = np.maximum.accumulate((np.cumsum(tp) / np.arange(1, len(tp) + 1))[::-1])[::-1]
+        ap.append(precision[tp == 1].sum() / 100)
+    assert whole["map50"] == pytest.approx(np.mean(ap))
+    monkeypatch.setattr(A, "RANGE_ROWS", 3)
+    assert A.detection_map(t, p.repartition(5)).first().asDict() == pytest.approx(whole)
