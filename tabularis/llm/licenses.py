@@ -10,7 +10,9 @@ only sound like licences. The plain windows are a bounded sample: those of the `
 most ``PLAIN_WINDOWS``. The unknown class is calibrated on windows held out of the fit: a family counts if its probability is above
 all but ``FALSE_RATE`` of what held-out unknown windows get, and at least ``FLOOR``. Every family that counts is compared with its
 templates, so that a window may name several: it is confirmed if at least ``CONFIRM`` of a notice's word pairs stand in
-the window. Only windows with a cue are classified, as no notice is without one.
+the window. Windows that cannot be confirmed are not classified: of a notice's ``n`` marks a confirmed window holds all but
+``n - ceil(CONFIRM * n)``, so a few words that touch one mark more than that are enough, and a window without any of them is
+confirmed for no notice (``needed_words``). Those words are taken from the notices, so no place of a text is passed over.
 
 Cases: null and empty texts hold no licence; a text of any length is read in windows; several licences of a document are all named;
 equal probabilities are of no matter, as every family is judged by itself; rows that repeat a doc_id get what any of them holds; an
@@ -19,6 +21,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -99,10 +104,10 @@ def grams(ws: Column, n: int) -> Column:
     return F.when(F.size(ws) >= n, found).otherwise(F.array().cast("array<string>"))
 
 
-def has_cue(low: Column) -> Column:
+def has_any(low: Column, parts: Sequence[str]) -> Column:
     found = F.lit(False)
-    for cue in CUES:
-        found = found | F.contains(low, F.lit(cue))
+    for part in parts:
+        found = found | F.contains(low, F.lit(part))
     return found
 
 
@@ -138,7 +143,7 @@ def fit(docs: DataFrame):
     # few rows more than wanted pass a threshold of the hash, so that the order is one of some thousand rows at any size
     most = min(1 << 30, (4 * PLAIN_ROWS << 30) // max(doc_texts(docs).count(), 1) + 1)
     drawn = doc_texts(docs).withColumn("o", F.xxhash64("id", "text")).where(F.shiftrightunsigned("o", 34) < most)
-    plain = drawn.where(~has_cue(F.lower("text"))).orderBy("o").limit(PLAIN_ROWS)
+    plain = drawn.where(~has_any(F.lower("text"), CUES)).orderBy("o").limit(PLAIN_ROWS)
     by = ["o", "paragraph", F.xxhash64("ws")]
     plain = windows(plain, "text", "o").orderBy(*by).limit(PLAIN_WINDOWS)
     at = F.row_number().over(Window.orderBy(*by))  # a bounded sample
@@ -170,12 +175,32 @@ def notice_marks() -> list[tuple[int, list[str]]]:
     return out
 
 
+def needed_words() -> list[str]:
+    """Words of which every window that ``CONFIRM`` of a notice's marks stand in holds at least one.
+
+    Of ``n`` marks at most ``n - ceil(CONFIRM * n)`` may be missing, so one mark more than that is touched by the words taken:
+    words that are taken already, then those with a cue, then long ones, as they are rare in other text."""
+    taken: list[str] = []
+    for _, marks in notice_marks():
+        parts = [set(m.split(" ")) for m in marks]
+        missing = len(marks) - math.ceil(CONFIRM * len(marks) - 1e-9)
+        rank = lambda w: (not any(c in w for c in CUES), -len(w), w)
+        for w in sorted(set().union(*parts), key=rank):
+            touched = sum(1 for p in parts if any(t in x for t in taken for x in p))
+            if touched > missing:
+                break
+            if not any(t in w for t in taken):
+                taken.append(w)
+    return sorted(t for t in taken if not any(o != t and o in t for o in taken))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_licenses, families, findings): findings are structs of paragraph, family, probability and confirmed share,
     one for each paragraph and family."""
     model, least = fit(docs)
     d = doc_texts(docs)
-    near = windows(d.where(has_cue(F.lower("text"))), "text", "id").where(has_cue(F.array_join("ws", " ")))
+    needed = needed_words()
+    near = windows(d.where(has_any(F.lower("text"), needed)), "text", "id").where(has_any(F.array_join("ws", " "), needed))
     # written tables keep the optimizer from repeating the features and the prediction in every later expression
     near = written(features(near).select("id", "paragraph", "marks", "features"), "license-windows")
     odds = F.posexplode(vector_to_array("probability")).alias("class", "p")

@@ -118,6 +118,23 @@ def test_licenses_in_other_forms(docs_of):
     assert not got[3000] and not any(got[i] for i, _ in rows if i < 1000)
 
 
+def test_licenses_without_a_cue_word(docs_of):
+    """Notices that hold none of the cues are found; the words scanned for are in every window that can be confirmed."""
+    rows = corpus(29, 60)
+    bare = {
+        1000: ("Apache-2.0", "Apache-2.0"),
+        1001: ("in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "BSD"),
+    }
+    assert not any(c in t.lower() for t, _ in bare.values() for c in licenses.CUES)
+    got = {r["doc_id"]: r["families"] for r in licenses.scan(docs_of([*rows, *((i, t) for i, (t, _) in bare.items())])).collect()}
+    assert all(got[i] == [family] for i, (_, family) in bare.items())
+    assert not any(got[i] for i, _ in rows)
+    needed = licenses.needed_words()
+    for _, marks in licenses.notice_marks():
+        free = [m for m in marks if not any(n in w for n in needed for w in m.split(" "))]
+        assert len(free) / len(marks) < licenses.CONFIRM
+
+
 # --- personal data ---------------------------------------------------------------------------
 
 
