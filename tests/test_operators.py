@@ -411,3 +411,24 @@ def test_detection_map_in_ranges(spark, monkeypatch):
     assert whole["map50"] == pytest.approx(np.mean(ap))
     monkeypatch.setattr(A, "RANGE_ROWS", 3)
     assert A.detection_map(t, p.repartition(5)).first().asDict() == pytest.approx(whole)
+
+
+def test_topk_unseen_against_brute_force(spark):
+    """Supported cells, seen items and fallback places in one order; scores equal to 12 digits go by the smaller item."""
+    items = {i: 1 + (i * 7 % 11) / 4 for i in range(1, 40)} | {50: 4.9 + 4e-15, 41: 4.9, 60: 4.9 - 4e-15}
+    seen = [(u, i) for u in range(6) for i in items if (u * 31 + i * 17) % 5 == 0 and u != 3] + [(4, i) for i in items if i % 3]
+    scored = [(u, i, 1 + (u * 13 + i * 29) % 40 / 10) for u in range(5) for i in items if (u + i) % 4 == 0 and u != 3]
+    ranked = R.ranked_fallback(spark.createDataFrame(list(items.items()), "item_id long, fallback double"))
+    place = {r["item_id"]: r["place"] for r in ranked.collect()}
+    assert sorted(place, key=place.get) == sorted(items, key=lambda i: (-round(items[i], 12), i))
+    users = spark.createDataFrame([(u,) for u in range(7)], "user_id long")
+    s = spark.createDataFrame(sorted(set(seen)), "user_id long, item_id long")
+    cells = spark.createDataFrame([(u, i, v, place[i]) for u, i, v in scored], "user_id long, item_id long, score double, place long")
+    for given, known in ((cells, {(u, i): v for u, i, v in scored}), (None, {})):
+        got = {(r["user_id"], r["rank"]): (r["item_id"], r["score"]) for r in R.topk_unseen(given, users, s, ranked, 3).collect()}
+        want = {}
+        for u in range(7):
+            open_items = [(known.get((u, i), f), i) for i, f in items.items() if (u, i) not in set(seen)]
+            for n, (v, i) in enumerate(sorted(open_items, key=lambda x: (-round(x[0], 12), x[1]))[:3], 1):
+                want[u, n] = (i, v)
+        assert got == want
