@@ -432,3 +432,12 @@ def test_topk_unseen_against_brute_force(spark):
             for n, (v, i) in enumerate(sorted(open_items, key=lambda x: (-round(x[0], 12), x[1]))[:3], 1):
                 want[u, n] = (i, v)
         assert got == want
+
+
+def test_topk_unseen_keeps_the_cells_of_a_null_user(spark):
+    ranked = R.ranked_fallback(spark.createDataFrame([(1, 3.0), (2, 2.0), (3, 1.0)], "item_id long, fallback double"))
+    users = spark.createDataFrame([(None,), (7,)], "user_id long")
+    seen = spark.createDataFrame([(None, 1), (7, 1)], "user_id long, item_id long")
+    cells = spark.createDataFrame([(None, 3, 5.0, 3), (7, 3, 2.5, 3)], "user_id long, item_id long, score double, place long")
+    got = sorted((str(r["user_id"]), r["rank"], r["item_id"], r["score"]) for r in R.topk_unseen(cells, users, seen, ranked, 2).collect())
+    assert got == [("7", 1, 3, 2.5), ("7", 2, 2, 2.0), ("None", 1, 3, 5.0), ("None", 2, 1, 3.0)]
