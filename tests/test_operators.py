@@ -441,3 +441,30 @@ def test_topk_unseen_keeps_the_cells_of_a_null_user(spark):
     cells = spark.createDataFrame([(None, 3, 5.0, 3), (7, 3, 2.5, 3)], "user_id long, item_id long, score double, place long")
     got = sorted((str(r["user_id"]), r["rank"], r["item_id"], r["score"]) for r in R.topk_unseen(cells, users, seen, ranked, 2).collect())
     assert got == [("7", 1, 3, 2.5), ("7", 2, 2, 2.0), ("None", 1, 3, 5.0), ("None", 2, 1, 3.0)]
+
+
+def test_nearest_points_are_exact_over_many_leaves_and_meet_few(spark, monkeypatch):
+    from tabularis.operators import oversample as O
+
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(size=(1500, 2)), rng.normal(size=(20, 2)) * 30, np.zeros((30, 2))])
+    x = np.column_stack([x, rng.integers(0, 2, len(x)) * 0.7])
+    made = []
+    dist = O._dist
+    monkeypatch.setattr(O, "_dist", lambda a, b: made.append(len(a) * len(b)) or dist(a, b))
+    near = [g for i, c in ((i, x[i]) for i in (0, 7, 1510)) for g in O._first_of(np.array([i]), c[None], np.arange(len(x)), x, 4)]
+    assert [len(g[1]) for g in near] == [4, 4, 4] and near[0][1][0] == np.argsort(np.where(np.arange(len(x)) == 0, np.inf, dist(x[:1], x)[0]), kind="stable")[0]
+    points = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(x)], "id long, coords array<double>")
+    found = O.nearest(points, 4, block_rows=50).toPandas()
+    d = np.round(dist(x, x), 9)
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1, kind="stable")[:, :4]
+    got = found.sort_values(["id", "rank"])["near"].to_numpy().reshape(-1, 4)
+    assert len(found) == 4 * len(x)
+    assert np.allclose(np.take_along_axis(d, got, 1), np.take_along_axis(d, want, 1), atol=1e-7)
+    tree = O._kd_tree(x, 32)
+    leaf = O._leaf_of(x, tree)
+    assert leaf.max() + 1 >= 16 and np.bincount(leaf[:1500]).max() < 200
+    visits = O._visits(4, *(np.array([f(x[leaf == n], axis=0) for n in range(leaf.max() + 1)]) for f in (np.min, np.max)))
+    some = pd.DataFrame({"id": np.flatnonzero(leaf == 3), "coords": list(x[leaf == 3])})
+    assert len(visits(some)) < 8 * len(some)
