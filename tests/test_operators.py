@@ -468,3 +468,19 @@ def test_nearest_points_are_exact_over_many_leaves_and_meet_few(spark, monkeypat
     visits = O._visits(4, *(np.array([f(x[leaf == n], axis=0) for n in range(leaf.max() + 1)]) for f in (np.min, np.max)))
     some = pd.DataFrame({"id": np.flatnonzero(leaf == 3), "coords": list(x[leaf == 3])})
     assert len(visits(some)) < 8 * len(some)
+
+
+def test_exact_silhouette_makes_each_distance_once(spark, tmp_path):
+    """Both sides of a pair of blocks take their sums from the same distances, so that half of the pairs of blocks are made."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(0, 1, (200, 2)), rng.normal(4, 1, (100, 2))])
+    pts = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(x)], "id long, coords array<double>")
+    pairs = C._half_pairs(pts, 5).groupBy("_ga", "_gb").count().collect()
+    assert len(pairs) == 15 and all(r["_ga"] <= r["_gb"] for r in pairs)
+    labs = {"a": (x[:, 0] > 2).astype(int), "b": rng.integers(-1, 3, len(x))}
+    labels = spark.createDataFrame([(n, i, int(v)) for n, lab in labs.items() for i, v in enumerate(lab)], "config string, id long, label int")
+    got = {r["config"]: r for r in C.silhouette(pts, labels, block_rows=64).collect()}
+    for n, lab in labs.items():
+        keep = lab >= 0
+        assert got[n]["silhouette"] == pytest.approx(_brute_silhouette(x[keep], lab[keep]), abs=1e-9)
+        assert got[n]["n_points"] == keep.sum()
