@@ -484,3 +484,24 @@ def test_exact_silhouette_makes_each_distance_once(spark, tmp_path):
         keep = lab >= 0
         assert got[n]["silhouette"] == pytest.approx(_brute_silhouette(x[keep], lab[keep]), abs=1e-9)
         assert got[n]["n_points"] == keep.sum()
+
+
+def test_svd_topk_equals_full_sort_with_ties_and_copies_few_rows(spark, monkeypatch):
+    from tabularis.operators import recsys as R
+
+    rng = np.random.default_rng(8)
+    left, right = rng.normal(size=(40, 4)), np.column_stack([rng.normal(size=(900, 3)), np.ones(900)])
+    left[:5, :3], left[5:9, 3] = 0, 9  # equal scores for all items; all scores clipped to 5
+    seen = np.unique(np.column_stack([rng.integers(0, 40, 300), rng.integers(0, 60, 300)]), axis=0)
+    monkeypatch.setattr(R, "TILE_ITEMS", 37)
+    rows, cols, scores = R._best_items(left, right, seen[:, 0], seen[:, 1], 6)
+    full = np.round(np.clip(left @ right.T, 1, 5), 10)
+    full[seen[:, 0], seen[:, 1]] = -np.inf
+    want = np.argsort(-full, axis=1, kind="stable")[:, :6]
+    assert (rows == np.repeat(np.arange(40), 6)).all()
+    assert np.allclose(scores.reshape(40, 6), np.take_along_axis(full, want, 1)) and (cols.reshape(40, 6)[:9] == want[:9]).all()
+    train = spark.createDataFrame([(int(u), int(i), float(1 + (u * i) % 5)) for u, i in seen], "user_id long, item_id long, rating double")
+    users, items = (spark.range(n).select(F.col("id").alias(c)) for n, c in ((45, "user_id"), (70, "item_id")))
+    one, two = (R.svd_topk(train, users, items, 3, 5, block_rows=b).toPandas().sort_values(["user_id", "rank"]) for b in (8, 1 << 16))
+    assert len(one) == 45 * 5 and np.allclose(one["score"], two["score"], atol=1e-9)
+    assert R._grid(900_000, 1_200_000, 12)[0] * 1_200_000 + R._grid(900_000, 1_200_000, 12)[1] * 900_000 < 12_000_000
