@@ -505,3 +505,23 @@ def test_svd_topk_equals_full_sort_with_ties_and_copies_few_rows(spark, monkeypa
     one, two = (R.svd_topk(train, users, items, 3, 5, block_rows=b).toPandas().sort_values(["user_id", "rank"]) for b in (8, 1 << 16))
     assert len(one) == 45 * 5 and np.allclose(one["score"], two["score"], atol=1e-9)
     assert R._grid(900_000, 1_200_000, 12)[0] * 1_200_000 + R._grid(900_000, 1_200_000, 12)[1] * 900_000 < 12_000_000
+
+
+def test_dbscan_settings_at_once_and_few_distances(spark, monkeypatch):
+    """Crowded cells need no counts of their own; cells are linked by the first pair within eps; levels give all min_samples."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(0, 0.2, (150, 2)), rng.normal(1.2, 0.3, (100, 2)), rng.uniform(-2, 3, (60, 2)), np.zeros((5, 2))])
+    pts = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(x)], "id long, coords array<double>")
+    res = C.dbscan_grid(pts, [0.1, 0.3, 0.7], [6, 2, 4]).toPandas()
+    assert len(res) == 9 * len(x)
+    for (eps, m), g in res.groupby(["eps", "min_samples"]):
+        assert (g.sort_values("id")["label"].to_numpy() == _brute_dbscan(x, eps, m)).all(), (eps, m)
+    a, b = rng.uniform(0, 1, (20_000, 2)), rng.uniform(0, 1, (20_000, 2)) + [1, 0]
+    made, dist, ones = [], C._dist, np.full(20_000, 3)
+    monkeypatch.setattr(C, "_dist", lambda p, q: made.append(len(p) * len(q)) or dist(p, q))
+    assert C._edge_level(a, ones, b, ones, 0.5) == 3 and sum(made) < 1e6
+    assert C._edge_level(a, ones, b + [0.5, 0], ones, 0.4) == 0
+    line = [spark.createDataFrame([(i, [0.05 * i] * d) for i in range(30)], "id long, coords array<double>") for d in (1, 3)]
+    for df, eps in zip(line, (0.051, 0.09), strict=True):
+        s = C.dbscan_summary(C.dbscan_grid(df, [eps], [3])).first()
+        assert (s["clusters"], s["noise"]) == (1, 0)
