@@ -30,3 +30,39 @@ def test_stratified_take_cuts_through_rows_of_one_key(spark):
         got = X.stratified_take(df, "k", "y", {"a": quota})
         assert got.count() == 900 and got.where("picked = 1").count() == quota
         assert got.select("id").distinct().count() == 900
+
+
+def test_requests_are_made_by_all_tasks(spark, tmp_path):
+    from tabularis.plans import scoring
+
+    keys = spark.range(400).coalesce(1).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id % 5 AS l_partkey", "1L AS l_suppkey", "DATE'2020-01-01' AS l_shipdate")
+    keys.selectExpr("*", "3.0D AS l_quantity", "0.1D AS l_discount", "0.1D AS l_tax", "'A' AS l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS p_partkey", "7 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    made = scoring.v_req(spark, str(tmp_path)).withColumn("p", F.spark_partition_id())
+    assert made.count() == 400
+    assert made.select("p").distinct().count() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_class_weights_move_no_row(spark):
+    df = spark.range(100).select("id", (F.col("id") % 2).alias("y"))
+    weights = spark.range(2).select(F.col("id").alias("y"), F.lit(2.0).alias("weight"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in _plan(X.with_weight(df, "y", weights))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_kmeans_blocks_of_one_partition_are_dealt_to_tasks(spark):
+    from tabularis.operators import kmeans
+
+    points = spark.range(2000).coalesce(1).select("id", F.array(F.col("id").cast("double")).alias("coords"))
+    most = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        blocks = kmeans.packed(points)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    assert blocks.select(F.input_file_name()).distinct().count() >= 4
+    assert blocks.agg(F.sum("n")).first()[0] == 2000
