@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -105,10 +106,8 @@ def grams(ws: Column, n: int) -> Column:
 
 
 def has_any(low: Column, parts: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for part in parts:
-        found = found | F.contains(low, F.lit(part))
-    return found
+    """Whether a text holds one of the parts. A lambda binds ``low``, as a filter would compute it again for every part."""
+    return F.exists(F.array(low), lambda t: reduce(lambda found, part: found | F.contains(t, F.lit(part)), parts, F.lit(False)))
 
 
 def windows(d: DataFrame, text: str, *keep: str) -> DataFrame:

@@ -135,6 +135,15 @@ def test_licenses_without_a_cue_word(docs_of):
         assert len(free) / len(marks) < licenses.CONFIRM
 
 
+def test_license_words_read_a_text_once(docs_of):
+    """A filter for many words lower-cases a text once, not once a word."""
+    docs = docs_of([(1, "The GPL"), (2, "none"), (3, ""), (4, None), (5, "an MIT text")])
+    kept = docs.where(licenses.has_any(F.lower("text"), ["gpl", "mit", "isc"]))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 5]
+    assert sorted(r["doc_id"] for r in docs.where(~licenses.has_any(F.lower("text"), ["gpl", "mit", "isc"])).collect()) == [2, 3]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
 # --- personal data ---------------------------------------------------------------------------
 
 
